@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.keys import whole_key
+from tradewind.operators.staging import broadcastable
 
 _SALT = "__salt"
 _HIT = "__hit"
@@ -20,8 +21,14 @@ def _salted(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn(_SALT, F.when(whole_key(*keys), F.lit(0).cast("long")).otherwise(spread))
 
 
-def _target_keys(target: DataFrame, keys: list[str]) -> DataFrame:
-    return target.where(whole_key(*keys)).select(*keys, F.lit(0).cast("long").alias(_SALT))
+def _held_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Whole keys of the target. Few updates are first broadcast against it, so that
+    only the keys they share leave the scan of a large target."""
+    held = target.where(whole_key(*keys)).select(*keys)
+    asked = updates.select(*keys)
+    if broadcastable(asked):
+        held = held.join(asked, keys, "left_semi")
+    return held.withColumn(_SALT, F.lit(0).cast("long"))
 
 
 def within_range_of(target: DataFrame, updates: DataFrame, column: str) -> DataFrame:
@@ -47,7 +54,7 @@ def rows_to_insert(
         target = within_range_of(target, updates, range_key)
     return (
         _salted(updates, keys)
-        .join(_target_keys(target, keys), [*keys, _SALT], "left_anti")
+        .join(_held_keys(target, updates, keys), [*keys, _SALT], "left_anti")
         .select(*updates.columns)
     )
 
@@ -93,12 +100,13 @@ def upsert(
     """Target after an update of matched rows and an insert of unmatched ones.
 
     A matched source NULL overwrites. Unmatched source rows are all inserted, also
-    duplicates. With ``unique_source`` (the source is grouped by the keys) both
-    steps are one full outer join; otherwise the update side is reduced to one row
-    per key first and the inserts come from an anti join.
+    duplicates. A large source known to be unique (``unique_source``) takes one full
+    outer join for both steps. Otherwise the update side is reduced to one row per key
+    and joined to the target, and the inserts come from an anti join; a source small
+    enough to be broadcast then leaves the target unshuffled.
     """
     columns = target.columns
-    if unique_source:
+    if unique_source and not broadcastable(source):
         s = _salted(source.select(*keys, *values), keys).select(
             *keys, _SALT, *[F.col(v).alias(f"__s_{v}") for v in values], F.lit(True).alias(_HIT)
         )
@@ -111,12 +119,16 @@ def upsert(
                 for c in columns
             ]
         )
-    latest = one_per_key(source, keys, values, prefer, on_duplicate)
+    if unique_source:
+        latest = source.where(whole_key(*keys)).select(*keys, *values)
+    else:
+        latest = one_per_key(source, keys, values, prefer, on_duplicate)
+    refusing = "__many" in latest.columns
     s = latest.select(
         *keys,
         F.lit(0).cast("long").alias(_SALT),
         *[F.col(v).alias(f"__s_{v}") for v in values],
-        (F.col("__many") if on_duplicate == "error" else F.lit(False)).alias("__many"),
+        (F.col("__many") if refusing else F.lit(False)).alias("__many"),
         F.lit(True).alias(_HIT),
     )
     refused = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")

@@ -126,6 +126,12 @@ MERGE_KEYS = {
 }
 # The merge key whose range limits how much of the table is read.
 RANGE_KEYS = {"prices_silver": "begin_date", "production_silver": "year", "tariff": "year"}
+PARTITIONS = {
+    "prices_silver": ["year"],
+    "production_silver": ["year"],
+    "trade_silver": ["marketing_year"],
+    "tariff": ["year"],
+}
 
 
 def _stamped(df: DataFrame, run_date: dt.date | None) -> DataFrame:
@@ -281,7 +287,12 @@ def run_cleaning(
 
     def merge(df: DataFrame, table: str) -> None:
         tables.merge_new_rows(
-            df, f"{database}.{table}", SILVER[table], MERGE_KEYS[table], RANGE_KEYS.get(table)
+            df,
+            f"{database}.{table}",
+            SILVER[table],
+            MERGE_KEYS[table],
+            RANGE_KEYS.get(table),
+            PARTITIONS[table],
         )
 
     merge(

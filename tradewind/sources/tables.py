@@ -39,13 +39,29 @@ def overwrite_table(df: DataFrame, name: str, ddl: str) -> None:
     conform(df, ddl).write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
-def append_table(df: DataFrame, name: str, ddl: str) -> None:
-    create_if_missing(df.sparkSession, name, ddl)
-    conform(df, ddl).write.mode("append").insertInto(name)
+def _append(df: DataFrame, name: str, partition_by: list[str] | None) -> None:
+    """Append in the table's column order. Rows of a partitioned table are rebalanced:
+    few files per partition, and a partition holding most rows is split."""
+    df = df.select(*df.sparkSession.table(name).columns)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    df.write.mode("append").insertInto(name)
+
+
+def append_table(
+    df: DataFrame, name: str, ddl: str, partition_by: list[str] | None = None
+) -> None:
+    create_if_missing(df.sparkSession, name, ddl, partition_by)
+    _append(conform(df, ddl), name, partition_by)
 
 
 def merge_new_rows(
-    updates: DataFrame, name: str, ddl: str, keys: list[str], range_key: str | None = None
+    updates: DataFrame,
+    name: str,
+    ddl: str,
+    keys: list[str],
+    range_key: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> None:
     """Append the rows whose key the table does not hold; matched rows stay as they are.
 
@@ -53,9 +69,9 @@ def merge_new_rows(
     with its own output.
     """
     spark = updates.sparkSession
-    create_if_missing(spark, name, ddl)
+    create_if_missing(spark, name, ddl, partition_by)
     new = rows_to_insert(spark.table(name), conform(updates, ddl), keys, range_key)
-    materialise(new).write.mode("append").insertInto(name)
+    _append(materialise(new), name, partition_by)
 
 
 def upsert_table(
@@ -80,7 +96,7 @@ def upsert_table(
     order = target.columns
     if partition_by is None:
         merged = materialise(upsert(target, source, keys, values, unique_source).select(*order))
-        merged.write.mode("overwrite").insertInto(name, overwrite=True)
+        merged.write.insertInto(name, overwrite=True)
         return
     source = materialise(source)
     loose = source.where(F.col(partition_by).isNull())
@@ -89,8 +105,8 @@ def upsert_table(
     hit = target.join(touched, partition_by, "left_semi")
     merged = materialise(upsert(hit, source, keys, values, unique_source).select(*order))
     (
-        merged.write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
+        merged.hint("rebalance", partition_by)
+        .write.option("partitionOverwriteMode", "dynamic")
         .insertInto(name, overwrite=True)
     )
-    loose.select(*order).write.mode("append").insertInto(name)
+    _append(loose, name, [partition_by])

@@ -45,7 +45,7 @@ def merge_stream(
 ) -> StreamingQuery:
     """Clean each batch and add its new rows to a table.
 
-    A batch repeated after a failure adds nothing: its keys are already there.
+    A batch repeated after a failure adds no whole key twice: the table holds it.
     """
 
     def apply(batch: DataFrame, _: int) -> None:

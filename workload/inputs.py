@@ -21,10 +21,37 @@ UNION_REGION = 3
 LATE = ("NATION_1", "NATION_12", "NATION_20")
 ANCHOR = "NATION_3"
 UNKNOWN_REPORTER = 11
+OUTSIDER = 9
 EARLIEST_YEAR = 1996
 AS_OF = dt.date(2001, 12, 31)
 MONEY = "decimal(18,2)"
 
+# Layouts of the tables used, given so that no job is spent on inferring them.
+LAYOUTS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+        "props string"
+    ),
+}
+
 
 class Inputs:
     """Readers and derived inputs of one scale factor; nothing is kept between queries."""
@@ -34,7 +61,7 @@ class Inputs:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def country_list(self) -> DataFrame:
@@ -44,7 +71,9 @@ class Inputs:
 
     @cached_property
     def countries(self) -> DataFrame:
-        return M.country_dimension(self.country_list, F.col("n_regionkey") == UNION_REGION, LATE)
+        return materialise(
+            M.country_dimension(self.country_list, F.col("n_regionkey") == UNION_REGION, LATE)
+        )
 
     @cached_property
     def partners(self) -> DataFrame:
@@ -92,27 +121,16 @@ class Inputs:
         )
 
     def _yearly(self, values: DataFrame, value: str, blank: Column) -> DataFrame:
-        """(nationkey, year, value) to entity, code, year, value, with one more row per
-        region and year whose code is no country."""
-        placed = values.join(self.table("nation"), F.col("nationkey") == F.col("n_nationkey"))
-        nations = placed.select(
+        """(nationkey, year, value) to entity, code, year, value; the code of one nation
+        is in no country list."""
+        nation = self.table("nation")
+        listed = F.when(F.col("n_nationkey") == OUTSIDER, F.concat(F.lit("AGG_"), "n_name"))
+        return values.join(nation, F.col("nationkey") == F.col("n_nationkey")).select(
             F.col("n_name").alias("entity"),
-            F.col("n_name").alias("code"),
+            listed.otherwise(F.col("n_name")).alias("code"),
             "year",
             F.when(~blank, F.col(value)).alias(value),
         )
-        regions = (
-            placed.join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .groupBy("r_name", "year")
-            .agg(F.sum(value).alias(value))
-            .select(
-                F.col("r_name").alias("entity"),
-                F.concat(F.lit("AGG_"), "r_name").alias("code"),
-                "year",
-                value,
-            )
-        )
-        return nations.unionByName(regions)
 
     @cached_property
     def production(self) -> DataFrame:

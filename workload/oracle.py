@@ -11,15 +11,12 @@ def r(expr: str, name: str, places: int = 6) -> str:
 
 
 def yearly(source: str, value: str, blank: str) -> str:
-    """Nation rows, some blanked, and one row per region whose code is no country."""
+    """Nation rows, some values blanked; the code of one nation is in no list."""
     return f"""
-      SELECT n_name AS entity, n_name AS code, year,
+      SELECT n_name AS entity,
+             CASE WHEN n_nationkey = 9 THEN 'AGG_' || n_name ELSE n_name END AS code, year,
              CASE WHEN NOT ({blank}) THEN {value} END AS {value}
-      FROM {source} JOIN nation ON nationkey = n_nationkey
-      UNION ALL
-      SELECT r_name, 'AGG_' || r_name, year, sum({value})
-      FROM {source} JOIN nation ON nationkey = n_nationkey
-      JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, year"""
+      FROM {source} JOIN nation ON nationkey = n_nationkey"""
 
 
 # Each part may use the ones above it.

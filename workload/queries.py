@@ -17,7 +17,7 @@ from tradewind.plans import cleaning, reports, trade
 from tradewind.plans import market as M
 from tradewind.schemas import SILVER, conform
 from tradewind.sources import landing, reference
-from workload.inputs import AS_OF, EARLIEST_YEAR, MONEY, Inputs
+from workload.inputs import AS_OF, EARLIEST_YEAR, LATE, MONEY, UNION_REGION, Inputs
 
 Query = Callable[[Inputs], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -56,7 +56,7 @@ def tidy(df: DataFrame, places: int = 6) -> DataFrame:
 
 @query
 def dim_country(x: Inputs) -> DataFrame:
-    return x.countries
+    return M.country_dimension(x.country_list, F.col("n_regionkey") == UNION_REGION, LATE)
 
 
 @query
