@@ -104,9 +104,11 @@ def upsert_table(
     touched = source.select(partition_by).distinct()
     hit = target.join(touched, partition_by, "left_semi")
     merged = materialise(upsert(hit, source, keys, values, unique_source).select(*order))
-    (
-        merged.hint("rebalance", partition_by)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(name, overwrite=True)
-    )
+    mode = "spark.sql.sources.partitionOverwriteMode"  # the only way insertInto heeds it
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        merged.hint("rebalance", partition_by).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
     _append(loose, name, [partition_by])

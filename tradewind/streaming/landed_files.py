@@ -46,6 +46,8 @@ def merge_stream(
     """Clean each batch and add its new rows to a table.
 
     A batch repeated after a failure adds no whole key twice: the table holds it.
+    Batches run in a session of their own; a session that has already read the table
+    sees new rows after ``spark.catalog.refreshTable(table)``.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
