@@ -216,6 +216,22 @@ def test_reference_tables(spark):
     assert reference.hierarchy_table(spark).where("Parameter = ''").count() == 2
 
 
+def test_country_list(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("ISO3,name_short,EU\nPOL,Poland,EU\nUSA,United States,\n")
+    got = reference.country_list(spark, f"{tmp_path}/c.csv")
+    assert rows(got) == [("POL", "Poland", True), ("USA", "United States", False)]
+
+
+def test_staging_is_cleared(spark, monkeypatch, tmp_path):
+    from tradewind.operators import staging
+
+    monkeypatch.setattr(staging, "staging_root", lambda _: f"{tmp_path}/staged")
+    kept = staging.materialise(spark.range(4))
+    assert kept.count() == 4
+    staging.clear_staging(spark)
+    assert not (tmp_path / "staged").exists()
+
+
 def test_file_stream(spark, tmp_path, database):
     """Each landed file is merged once; a second run finds nothing new."""
     table = f"{database}.production_silver"

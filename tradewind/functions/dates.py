@@ -25,26 +25,27 @@ def year_week(year: str | Column, week: str | Column) -> Column:
 def majority_month(begin: str | Column, end: str | Column) -> Column:
     """Struct ``(year, month_number)`` of the month holding most days of a period.
 
-    Works inside the row: the months a period touches are listed, each with its
-    share of the days, and the largest share wins (the earlier month on a tie).
-    No day expansion and no shuffle. NULL when either date is missing.
+    The largest share of the days wins, the earlier month on a tie. Only the first
+    three months a period touches can win: of two whole months in a row one has 31
+    days, which no later month beats. So the answer is a plain expression of the row,
+    without expanding days and without a shuffle. NULL when either date is missing.
     """
     a, b = as_column(begin), as_column(end)
     low, high = F.least(a, b), F.greatest(a, b)
-    months = F.sequence(F.trunc(low, "MM"), F.trunc(high, "MM"), F.expr("interval 1 month"))
+    months = [F.add_months(F.trunc(low, "MM"), i) for i in range(3)]
 
-    def share(month: Column) -> Column:
-        days = F.datediff(F.least(F.last_day(month), high), F.greatest(month, low)) + 1
-        ordinal = F.year(month) * 12 + F.month(month) - 1
-        return F.struct(days.alias("days"), (-ordinal).alias("earlier"))
+    def days_in(month: Column) -> Column:
+        return F.datediff(F.least(F.last_day(month), high), F.greatest(month, low)) + 1
 
-    ordinal = -F.array_max(F.transform(months, share))["earlier"]
+    first, second, third = (days_in(m) for m in months)
+    best = (
+        F.when((first >= second) & (first >= third), months[0])
+        .when(second >= third, months[1])
+        .otherwise(months[2])
+    )
     return F.when(
         a.isNotNull() & b.isNotNull(),
-        F.struct(
-            F.floor(ordinal / 12).cast("int").alias("year"),
-            (F.pmod(ordinal, F.lit(12)) + 1).cast("int").alias("month_number"),
-        ),
+        F.struct(F.year(best).alias("year"), F.month(best).alias("month_number")),
     )
 
 

@@ -55,19 +55,15 @@ def surrogate_ids(df: DataFrame, order: list[str], into: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
     """One row of order statistics: the smallest value covering each share.
 
-    NULLs are left out; an empty input gives NULLs. A large input is counted per
-    distinct value and cut by a distributed running total.
+    NULLs are left out; an empty input gives NULLs. Values are counted first (map-side
+    combine), then a running total over the distinct values finds every share at once.
     """
     known = df.select(value).where(F.col(value).isNotNull())
-    if fits_one_task(known):
-        return known.agg(
-            *[
-                F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{value}`)").alias(name)
-                for name, p in probs.items()
-            ]
-        )
-    counts = materialise(known.groupBy(value).agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
+    counts = known.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    total = known.agg(F.count(F.lit(1)).alias("total")).scalar()
+    if not fits_one_task(known):
+        counts = materialise(counts)
+        total = counts.agg(F.sum("n").alias("total")).scalar()
     covered = running_total(counts, [value], F.col("n"), "upto")
     return covered.agg(
         *[

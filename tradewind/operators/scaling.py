@@ -38,21 +38,37 @@ def minmax_by(df: DataFrame, values: str | dict[str, str], by: str) -> DataFrame
 def minmax_overall(df: DataFrame, values: str | dict[str, str]) -> DataFrame:
     """Scale columns to [0, 1] over the whole frame.
 
-    The extremes are scalar subqueries: nothing passes through the driver.
+    All extremes come from one scalar subquery: one extra pass, and nothing goes
+    through the driver.
     """
     targets = _targets(values)
-    scaled = []
-    for c, name in targets.items():
-        low = df.agg(F.min(c).alias("low")).scalar()
-        high = df.agg(F.max(c).alias("high")).scalar()
-        scaled.append(unit_scale(F.col(c), low, high).alias(name))
+    bounds = []
+    for i, c in enumerate(targets):
+        bounds += [F.min(c).alias(f"low{i}"), F.max(c).alias(f"high{i}")]
+    extremes = df.agg(F.struct(*bounds).alias("extremes")).scalar()
+    scaled = [
+        unit_scale(F.col(c), extremes[f"low{i}"], extremes[f"high{i}"]).alias(name)
+        for i, (c, name) in enumerate(targets.items())
+    ]
     return df.select("*", *scaled)
 
 
-def _cap(df: DataFrame, value: str, share: float, accuracy: int | None) -> Column:
+def _limits(
+    df: DataFrame, value: str, lower: float | None, upper: float | None, accuracy: int | None
+) -> Column:
+    """Struct ``(low, high)`` between which values stay: quantiles, or the extremes on
+    a side without one. Both ends are values of the data."""
+    probs = {"low": lower or 0.0, "high": 1.0 if upper is None else upper}
     if accuracy is None:
-        return exact_quantiles(df, value, {"cap": share}).scalar()
-    return sketch_quantiles(df, value, {"cap": share}, accuracy).scalar()
+        ends = exact_quantiles(df, value, probs)
+    else:
+        ends = sketch_quantiles(df, value, probs, accuracy)
+    return ends.select(F.struct("low", "high").alias("limits")).scalar()
+
+
+def _clipped(value: str, limits: Column) -> Column:
+    inside = F.least(F.greatest(F.col(value), limits["low"]), limits["high"])
+    return F.when(F.col(value).isNotNull(), inside)
 
 
 def winsorise(
@@ -67,14 +83,7 @@ def winsorise(
 
     Exact by default; ``accuracy`` switches to a bounded sketch.
     """
-    clipped = F.col(value)
-    if lower is not None:
-        cap = _cap(df, value, lower, accuracy)
-        clipped = F.when(F.col(value) < cap, cap).otherwise(clipped)
-    if upper is not None:
-        cap = _cap(df, value, upper, accuracy)
-        clipped = F.when(F.col(value) > cap, cap).otherwise(clipped)
-    return df.withColumn(into, clipped)
+    return df.withColumn(into, _clipped(value, _limits(df, value, lower, upper, accuracy)))
 
 
 def winsorised_minmax(
@@ -85,6 +94,12 @@ def winsorised_minmax(
     upper: float | None = None,
     accuracy: int | None = None,
 ) -> DataFrame:
-    """Winsorise, then scale to [0, 1]; the raw value is kept."""
-    clipped = winsorise(df, value, "__clipped", lower, upper, accuracy)
-    return minmax_overall(clipped, {"__clipped": into}).drop("__clipped")
+    """Winsorise, then scale to [0, 1]; the raw value is kept.
+
+    The limits are themselves the extremes of the winsorised values, so scaling needs
+    no further pass.
+    """
+    limits = _limits(df, value, lower, upper, accuracy)
+    return df.withColumn(
+        into, unit_scale(_clipped(value, limits), limits["low"], limits["high"])
+    )

@@ -33,6 +33,13 @@ def staging_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def clear_staging(spark: SparkSession) -> None:
+    """Delete the written intermediates of this application. Frames that read them,
+    results of earlier calls included, can no longer be evaluated."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a reader of the written table."""
     spark = df.sparkSession

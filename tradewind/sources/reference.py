@@ -26,6 +26,16 @@ def slider_positions(spark: SparkSession, steps: int = 100) -> DataFrame:
     return spark.range(steps + 1).select((F.col("id") / steps).alias("value"))
 
 
+def country_list(spark: SparkSession, path: str) -> DataFrame:
+    """Country list from a CSV ``ISO3,name_short,EU``; any EU text marks a member."""
+    raw = spark.read.option("header", True).schema("ISO3 string, name_short string, EU string").csv(path)
+    return raw.select(
+        F.col("ISO3").alias("iso3"),
+        F.col("name_short").alias("name"),
+        (F.coalesce(F.trim("EU"), F.lit("")) != "").alias("eu"),
+    )
+
+
 def indicator_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         [(name, order) for name, order in INDICATORS.items()], "Indicator string, Order bigint"

@@ -65,13 +65,13 @@ def merge_new_rows(
 ) -> None:
     """Append the rows whose key the table does not hold; matched rows stay as they are.
 
-    The new rows are written to staging first, so a retried append never compares
-    with its own output.
+    The files of the table are listed before the append starts, so a retried task
+    never compares with rows of its own run.
     """
     spark = updates.sparkSession
     create_if_missing(spark, name, ddl, partition_by)
     new = rows_to_insert(spark.table(name), conform(updates, ddl), keys, range_key)
-    _append(materialise(new), name, partition_by)
+    _append(new, name, partition_by)
 
 
 def upsert_table(
