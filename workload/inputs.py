@@ -26,32 +26,6 @@ EARLIEST_YEAR = 1996
 AS_OF = dt.date(2001, 12, 31)
 MONEY = "decimal(18,2)"
 
-# Layouts of the tables used, given so that no job is spent on inferring them.
-LAYOUTS = {
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": (
-        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-    ),
-    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
-    "part": (
-        "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
-        "p_retailprice double"
-    ),
-    "orders": (
-        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
-        "o_orderdate timestamp_ntz, o_orderpriority string"
-    ),
-    "lineitem": (
-        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
-        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
-        "l_linestatus string, l_shipdate timestamp_ntz"
-    ),
-    "events": (
-        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
-        "props string"
-    ),
-}
-
 
 class Inputs:
     """Readers and derived inputs of one scale factor; nothing is kept between queries."""
@@ -59,9 +33,12 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def country_list(self) -> DataFrame:
