@@ -46,7 +46,31 @@ class UniqueTogether:
     column = "N/A"
 
 
-Check = NotNull | Between | UniqueTogether
+@dataclass(frozen=True)
+class ColumnOrder:
+    """The table has these columns in this order; if not, every row counts."""
+
+    columns: tuple[str, ...]
+    rule = "expect_table_columns_to_match_ordered_list"
+    column = "N/A"
+
+    def holds(self, df: DataFrame) -> bool:
+        return columns_match(df, list(self.columns))
+
+
+@dataclass(frozen=True)
+class ColumnType:
+    """The column has this type; if not, every row counts."""
+
+    column: str
+    kind: str
+    rule = "expect_column_values_to_be_of_type"
+
+    def holds(self, df: DataFrame) -> bool:
+        return not type_mismatches(df, {self.column: self.kind})
+
+
+Check = NotNull | Between | UniqueTogether | ColumnOrder | ColumnType
 
 # The layout of the log table.
 LOG_SCHEMA = T.StructType(
@@ -76,13 +100,15 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     counted = [
         F.count_if(c.failing()).alias(f"c{i}")
         for i, c in enumerate(checks)
-        if not isinstance(c, UniqueTogether)
+        if isinstance(c, (NotNull, Between))
     ]
     totals = df.agg(F.count(F.lit(1)).alias("total"), *counted)
 
     def outcome(i: int, check: Check) -> Column:
         if isinstance(check, UniqueTogether):
             unexpected = repeated_rows(df, check.columns).scalar()
+        elif isinstance(check, (ColumnOrder, ColumnType)):
+            unexpected = F.lit(0).cast("long") if check.holds(df) else F.col("total")
         else:
             unexpected = F.col(f"c{i}")
         return F.struct(

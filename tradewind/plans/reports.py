@@ -63,6 +63,13 @@ def partner_detail(breakdown: DataFrame, name: str) -> DataFrame:
     return breakdown.where(F.col("name") == name).orderBy("indicator_order")
 
 
+def partner_card(scored: DataFrame, name: str) -> DataFrame:
+    """Name and score of one partner; one row also when there is no such partner."""
+    return scored.where(F.col("name") == name).agg(
+        F.min("name").alias("name"), F.max("market_score").alias("market_score")
+    )
+
+
 def history(market: DataFrame, partners: DataFrame, value: str, n_years: int = 6) -> DataFrame:
     """Yearly sums of a measure per partner over the most recent years."""
     recent = latest_years(market, n_years).where(F.col(value).isNotNull())

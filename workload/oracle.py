@@ -346,6 +346,8 @@ def _repeated(a: str, b: str) -> str:
 NULL_RULE = "expect_column_values_to_not_be_null"
 RANGE_RULE = "expect_column_values_to_be_between"
 UNIQUE_RULE = "expect_compound_columns_to_be_unique"
+ORDER_RULE = "expect_table_columns_to_match_ordered_list"
+TYPE_RULE = "expect_column_values_to_be_of_type"
 
 SCORES = ["growth_metric", "market_metric", "demand_metric", "ease_metric", "market_score"]
 MARKET = [
@@ -566,6 +568,11 @@ def oracle_sql() -> dict[str, str]:
             ["weight", "weighted_value"], ["name", "indicator"], "breakdown", "breakdown",
             "WHERE scenario = 'default' AND name = 'NATION_2'",
         ),
+        "partner_card": with_parts(
+            f"SELECT min(name) AS name, {r('max(market_score)', 'market_score')} FROM scored "
+            "WHERE scenario = 'default' AND name = 'NATION_2'",
+            "scored",
+        ),
         "weight_rollup": with_parts(
             f"SELECT country_id, scenario, depth, level1, level2, parameter, "
             f"{r(weight_case, 'weight')}, {r('wv', 'weighted_value')} FROM ({levels})",
@@ -729,7 +736,7 @@ def oracle_sql() -> dict[str, str]:
             "production_rows",
         ),
         "upsert_one_per_key": """
-          WITH t AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0),
+          WITH t AS (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01'),
           pick AS (SELECT l_orderkey, l_quantity, l_linenumber, row_number() OVER (
               PARTITION BY l_orderkey ORDER BY l_shipdate, l_quantity, l_linenumber) AS rn
             FROM lineitem)
@@ -757,6 +764,14 @@ def oracle_sql() -> dict[str, str]:
                 (UNIQUE_RULE, "N/A", _repeated("l_partkey", "l_quantity")),
             ]
         ),
+        "dq_schema": _dq(
+            [
+                (ORDER_RULE, "N/A", "0"),
+                (ORDER_RULE, "N/A", _count("true")),
+                (TYPE_RULE, "l_quantity", "0"),
+                (TYPE_RULE, "l_partkey", _count("true")),
+            ]
+        ),
         "dq_summary": with_parts(
             f"""SELECT 'WARNING' AS severity,
               '⚠️ Validation failed for file lineitem.parquet: {NULL_RULE}(l_partkey): '

@@ -272,6 +272,11 @@ def partner_detail(x: Inputs) -> DataFrame:
     return tidy(detail.select("name", "indicator", "weight", "weighted_value"))
 
 
+@query
+def partner_card(x: Inputs) -> DataFrame:
+    return tidy(reports.partner_card(reports.scores(_indicators(x)), "NATION_2"))
+
+
 @query
 def weight_rollup(x: Inputs) -> DataFrame:
     by = ["country_id", "scenario"]
@@ -527,10 +532,11 @@ def upsert_production(x: Inputs) -> DataFrame:
 
 @query
 def upsert_one_per_key(x: Inputs) -> DataFrame:
-    """Many line items per order: the earliest shipped one updates the order row."""
-    target = x.table("orders").select(
+    """Many line items per order: the earliest shipped one updates the row of an older
+    order; items of newer orders are all added."""
+    target = x.table("orders").where(F.col("o_orderdate") < CUT_NEW).select(
         "o_orderkey", F.lit(0.0).alias("quantity"), F.lit(None).cast("int").alias("line")
-    ).where(F.col("o_orderkey") % 2 == 0)
+    )
     source = x.table("lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_quantity").alias("quantity"),
@@ -588,6 +594,20 @@ def dq_unique(x: Inputs) -> DataFrame:
     )
 
 
+@query
+def dq_schema(x: Inputs) -> DataFrame:
+    """Column order and types of the dirty lines, one expectation of each kind wrong."""
+    return quality.run_checks(
+        _dirty_lines(x),
+        [
+            quality.ColumnOrder(("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")),
+            quality.ColumnOrder(("l_linenumber", "l_orderkey", "l_partkey", "l_quantity")),
+            quality.ColumnType("l_quantity", "double"),
+            quality.ColumnType("l_partkey", "string"),
+        ],
+    )
+
+
 @query
 def dq_summary(x: Inputs) -> DataFrame:
     checks = [
