@@ -53,18 +53,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes the plan's scans would read, by the optimizer's estimate."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def written_once(df: DataFrame) -> DataFrame:
-    """``df`` for use in several branches: written when reading its inputs again would
-    cost more than a write, left as it is over small inputs."""
-    return df if input_bytes(df) <= SINGLE_TASK_BYTES else materialise(df)
-
-
 def broadcastable(df: DataFrame) -> bool:
     """Whether the planner, by its size estimate, would broadcast this frame."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -10,7 +10,7 @@ from tradewind.operators.growth import windowed_cagr
 from tradewind.operators.lookup import with_country_id
 from tradewind.operators.ordering import surrogate_ids
 from tradewind.operators.scaling import minmax_by, minmax_overall, winsorised_minmax
-from tradewind.operators.staging import materialise, written_once
+from tradewind.operators.staging import materialise, sized
 from tradewind.schemas import MARKET
 from tradewind.sources import reference, tables
 
@@ -80,7 +80,7 @@ def gdp_forecast(gdp: DataFrame, countries: DataFrame) -> DataFrame:
         F.count("gdp_change_forecast").alias("n_years"),
     )
     return minmax_overall(
-        written_once(means), {"gdp_forecast_growth_avg": "gdp_growth_forecast_normalized"}
+        sized(means), {"gdp_forecast_growth_avg": "gdp_growth_forecast_normalized"}
     )
 
 
@@ -92,7 +92,7 @@ def import_growth(
 ) -> DataFrame:
     """Windowed growth per country, lower tail winsorised, then scaled."""
     return winsorised_minmax(
-        written_once(windowed_cagr(imports, "import_tonnes", earliest=earliest)),
+        sized(windowed_cagr(imports, "import_tonnes", earliest=earliest)),
         "import_CAGR",
         "import_CAGR_normalized",
         lower=lower,
@@ -129,7 +129,7 @@ def tariff_level(
         F.avg("tariff_average").alias("tariff_avg")
     )
     return winsorised_minmax(
-        written_once(means), "tariff_avg", "tariff_avg_normalized", upper=upper, accuracy=accuracy
+        sized(means), "tariff_avg", "tariff_avg_normalized", upper=upper, accuracy=accuracy
     )
 
 
@@ -145,7 +145,7 @@ def distance_pairs(distance: DataFrame, countries: DataFrame, anchor: str) -> Da
 
 def distance_level(pairs: DataFrame) -> DataFrame:
     """Distances scaled over the destinations."""
-    return minmax_overall(written_once(pairs), "dist")
+    return minmax_overall(sized(pairs), "dist")
 
 
 def trade_barriers(tariffs: DataFrame, distances: DataFrame) -> DataFrame:
