@@ -24,7 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _MINHASH = """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
