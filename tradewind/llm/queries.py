@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import minhash
+from tradewind.llm import minhash, quality, suffixes, toxicity
 from tradewind.llm.common import table
 
 
@@ -15,8 +15,28 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, with the offending sentences."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without repeated strings of 400 bytes."""
+    return suffixes.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash}
+    return {
+        "op1_minhash": op1_minhash,
+        "op4_quality": op4_quality,
+        "op5_toxicity": op5_toxicity,
+        "op6_suffix_array": op6_suffix_array,
+    }
 
 
 # Words are cut at the six ASCII blanks and lower-cased in A-Z only; the set of a text of
