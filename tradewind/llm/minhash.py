@@ -2,22 +2,24 @@
 
 1. One pass over the texts: the set of hashed word shingles of each document, its size, a
    128-bit fingerprint of the set, ``BANDS`` band keys of ``ROWS`` minima each, and a packed
-   signature that keeps the two low bits of every minimum.
+   signature that keeps the four low bits of every minimum.
 2. Documents with equal fingerprints form a class; only its representative goes on.
 3. Classes that share a band key are candidates. Their similarity is first estimated from
-   the packed bits, by bit counts, corrected for the quarter of unequal minima whose two
-   bits agree by chance; only pairs well below the threshold are left out.
+   the packed bits, by bit counts, corrected for the sixteenth of unequal minima whose four
+   bits agree by chance, and checked by a parity sketch of the whole sets; only pairs well
+   below the threshold are left out.
 4. Candidates are confirmed on full shingle sets, rebuilt from the texts. In the first round
-   each class meets the one best partner among the heads (least ids) of its bands. In the
-   second, all pairs of a band that are not yet in one component are compared. So a group of
-   n near copies costs n comparisons, not n squared, and no link that joins two components
-   is left out.
+   each class meets the best partner among the heads of its bands, in the next ones the three
+   best of some members of the main component of each band. Last, all pairs of a band that
+   are not yet in one component are compared. So a group of n near copies costs some n
+   comparisons, not n squared, and no link that joins two components is left out.
 
 Ids must not repeat for different texts; rows that repeat an id count as one document.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +31,20 @@ from tradewind.llm import common
 from tradewind.llm.common import discard, stage
 from tradewind.llm.components import components
 
-BANDS, ROWS, BITS = 32, 4, 2
+BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 PACKED = MINIMA * BITS // 64
-# Estimates this far below the threshold are still confirmed: 4.5 standard deviations.
-SLACK = 0.21
+# Estimates this far below the threshold are still confirmed: 3.9 standard deviations.
+SLACK = 0.155
+# Rounds of sampled comparisons before the last, complete one.
+TURNS = 1
+# Bits of the parity sketch of the whole set, and the standard deviations allowed for it.
+SKETCH, DEVIATIONS = 1024, 4.0
 
 _A = common.mix(np.arange(1, MINIMA + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _SIGNATURE = (
-    "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>, bits array<long>"
+    "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>, bits array<long>,"
+    " sketch array<long>"
 )
 
 
@@ -59,9 +66,14 @@ def _signatures(size: int):
                 keys = np.arange(1, BANDS + 1, dtype=np.uint64)[:, None] * np.ones(len(full), np.uint64)
                 for r in range(ROWS):
                     keys = common.mix(keys + grouped[:, r])
-                low = common.mix(minima.astype(np.uint64)) & np.uint64(3)
-                shift = (np.arange(32, dtype=np.uint64) * np.uint64(2))[None, :, None]
-                packed = np.bitwise_or.reduce(low.reshape(PACKED, 32, -1) << shift, axis=1)
+                low = common.mix(minima.astype(np.uint64)) & np.uint64((1 << BITS) - 1)
+                each = 64 // BITS
+                shift = (np.arange(each, dtype=np.uint64) * np.uint64(BITS))[None, :, None]
+                packed = np.bitwise_or.reduce(low.reshape(PACKED, each, -1) << shift, axis=1)
+                owner = np.repeat(np.arange(len(full)), n[full])
+                place = owner * SKETCH + (values & np.uint64(SKETCH - 1)).astype(np.int64)
+                odd = (np.bincount(place, minlength=len(full) * SKETCH) & 1).astype(np.uint8)
+                sketch = np.packbits(odd).view(np.int64)
                 ends = np.concatenate([[0], np.cumsum(n > 0)])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -71,8 +83,9 @@ def _signatures(size: int):
                         pa.array(common.per_text(np.add, common.mix(values + np.uint64(7)), at).view(np.int64)),
                         common.list_column(keys.T.ravel().view(np.int64), ends * BANDS, pa.int64()),
                         common.list_column(packed.T.ravel().view(np.int64), ends * PACKED, pa.int64()),
+                        common.list_column(sketch, ends * (SKETCH // 64), pa.int64()),
                     ],
-                    ["doc_id", "n_shingles", "print_a", "print_b", "bands", "bits"],
+                    ["doc_id", "n_shingles", "print_a", "print_b", "bands", "bits", "sketch"],
                 )
 
     return run
@@ -87,13 +100,13 @@ def signatures(docs: DataFrame, size: int = 5) -> DataFrame:
 
 def estimate(a: Column, b: Column) -> Column:
     """Similarity estimated from two packed signatures, corrected for chance agreement."""
-    even = F.lit(0x5555555555555555)
+    lowest = F.lit(sum(1 << k for k in range(0, 64, BITS)))
     unequal = F.lit(0)
     for k in range(PACKED):
         differ = a[k].bitwiseXOR(b[k])
-        unequal = unequal + F.bit_count(
-            differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(even)
-        )
+        for step in (1, 2):
+            differ = differ.bitwiseOR(F.shiftrightunsigned(differ, step))
+        unequal = unequal + F.bit_count(differ.bitwiseAND(lowest))
     chance = 1.0 / (1 << BITS)
     return ((1 - unequal / float(MINIMA)) - chance) / (1 - chance)
 
@@ -128,11 +141,59 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     )
 
 
+def _apart_at_most(percent: int) -> Column:
+    """Whether the parity sketches allow so small a symmetric difference as the threshold asks.
+
+    A bit is the parity of the set's members hashed to it, so unequal bits count the members of
+    one set only. With x = exp(-2 d / SKETCH), a difference of d leaves SKETCH / 2 * (1 - x) of
+    them in the mean, with variance SKETCH / 4 * (1 - x * x) - d * x * x.
+    """
+    unequal = F.lit(0)
+    for k in range(SKETCH // 64):
+        unequal = unequal + F.bit_count(F.col("sketch_a")[k].bitwiseXOR(F.col("sketch_b")[k]))
+    most = (F.col("n_a") + F.col("n_b")) * ((100 - percent) / (100 + percent))
+    x = F.exp(most * (-2.0 / SKETCH))
+    spread = F.sqrt(F.greatest(F.lit(0.0), (1 - x * x) * (SKETCH / 4) - most * x * x))
+    return unequal <= (1 - x) * (SKETCH / 2) + 1 + spread * DEVIATIONS
+
+
 def _near_enough(percent: int) -> Column:
-    """Whether sizes and packed bits allow a pair to reach the threshold."""
+    """Whether sizes, packed minima and sketches allow a pair to reach the threshold."""
     share = percent / 100
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    return sizes & (estimate(F.col("bits_a"), F.col("bits_b")) >= share - SLACK)
+    minima = estimate(F.col("bits_a"), F.col("bits_b")) >= share - SLACK
+    return sizes & minima & _apart_at_most(percent)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def _best(pairs: DataFrame, n: int) -> DataFrame:
+    """For each b the n partners of the highest estimate; b has at most a few per band."""
+    near = F.struct(estimate(F.col("bits_a"), F.col("bits_b")).alias("e"), (-F.col("a")).alias("minus"))
+    ranked = pairs.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(near), asc=False), 1, n).alias("best"))
+    return ranked.select(F.explode("best.minus").alias("a"), "b").withColumn("a", -F.col("a"))
+
+
+def _sampled(rest: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b): each member of a band outside its main component with three members of it.
+
+    The three are those of the greatest hash, another hash in each turn, so the many bands of a
+    document bring it together with many members of the group next to it.
+    """
+    parts = rest.groupBy("band", "component").agg(
+        F.count("*").alias("n"),
+        *[F.max_by("id", F.xxhash64("id", F.lit(3 * turn + j))).alias(f"p{j}") for j in range(3)],
+    )
+    main = parts.groupBy("band").agg(
+        F.max(F.struct("n", (-F.col("component")).alias("minus"), "p0", "p1", "p2")).alias("m")
+    )
+    return (
+        rest.join(main, "band").where("component <> -m.minus")
+        .select(F.explode(F.array("m.p0", "m.p1", "m.p2")).alias("a"), F.col("id").alias("b"))
+        .distinct()
+    )
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -152,28 +213,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
             "doc_id", "rep", "n_shingles",
             F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"),
             F.when(F.col("doc_id") == F.col("rep"), F.col("bits")).alias("bits"),
+            F.when(F.col("doc_id") == F.col("rep"), F.col("sketch")).alias("sketch"),
         )
     )
     reps = members.where("bands IS NOT NULL").dropDuplicates(["doc_id"])
     # Rows of a band key that at least two classes share.
     keyed = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))
-    heads = keyed.groupBy("band").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
-    shared = stage(keyed.join(heads, "band").select("band", "id", "head"))
+    sizes = keyed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = stage(keyed.join(sizes, "band"))
+    company = crowded.groupBy("id").agg(F.sum("n").alias("company"))
+    heads = (
+        crowded.join(company, "id").groupBy("band")
+        .agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("top"))
+        .select("band", (-F.col("top.minus")).alias("head"))
+    )
+    shared = stage(crowded.join(heads, "band").select("band", "id", "head"))
 
-    known = reps.select(F.col("doc_id").alias("id"), "n_shingles", "bits")
-    side_a = known.toDF("a", "n_a", "bits_a")
-    side_b = known.toDF("b", "n_b", "bits_b")
+    known = reps.select(F.col("doc_id").alias("id"), "n_shingles", "bits", "sketch")
+    side_a = known.toDF("a", "n_a", "bits_a", "sketch_a")
+    side_b = known.toDF("b", "n_b", "bits_b", "sketch_b")
 
     def plausible(pairs: DataFrame) -> DataFrame:
         return pairs.join(side_a, "a").join(side_b, "b").where(_near_enough(percent))
 
     starred = shared.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    first = stage(
-        plausible(starred)
-        .groupBy("b")
-        .agg(F.max_by("a", F.struct(estimate(F.col("bits_a"), F.col("bits_b")), -F.col("a"))).alias("a"))
-        .select("a", "b")
-    )
+    first = stage(_best(plausible(starred), 1))
     # Texts of all classes that share a band: every pair to confirm is among them.
     wanted = shared.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(
@@ -181,29 +245,46 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         "zstd",
     )
     single = texts.dropDuplicates(["doc_id"]) if _repeats(reps, signed) else texts
-    links = stage(confirmed(first, single, size, percent))
-    grouped = components(links)
-
-    # Second round: pairs of a band in different components, the first round's left out.
-    placed = shared.join(grouped, "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("component")
-    )
-    mixed = (
-        placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi").select("band")
+    tried = [first]
+    links = [stage(confirmed(first, single, size, percent))]
+
+    def placed() -> DataFrame:
+        """Rows of the bands that still hold several components."""
+        grouped = components(_union(links))
+        rows = shared.join(grouped, "id", "left").select(
+            "band", "id", F.coalesce("component", "id").alias("component")
+        )
+        mixed = (
+            rows.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .where("lo <> hi").select("band")
+        )
+        return stage(rows.join(mixed, "band"))
+
+    for turn in range(TURNS):
+        rest = placed()
+        pairs = stage(_best(plausible(_sampled(rest, turn)), 3).select("a", "b"))
+        links.append(stage(confirmed(pairs, single, size, percent)))
+        tried.append(pairs)
+        discard(rest)
+
+    # Last, all pairs of a band in different components that were not tried yet.
+    open_rows = placed()
+    rest = stage(open_rows.join(known, "id"))
+    x = rest.select(
+        "band", F.col("id").alias("a"), F.col("component").alias("component_a"),
+        F.col("n_shingles").alias("n_a"), F.col("bits").alias("bits_a"), F.col("sketch").alias("sketch_a"),
     )
-    rest = stage(placed.join(mixed, "band"))
-    x = rest.toDF("band", "a", "component_a")
-    y = rest.toDF("band", "b", "component_b")
+    y = x.toDF("band", "b", "component_b", "n_b", "bits_b", "sketch_b")
+    apart = (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
     second = stage(
-        plausible(
-            x.join(y, "band").where("a < b AND component_a <> component_b").select("a", "b").distinct()
+        x.join(y, (x["band"] == y["band"]) & apart & _near_enough(percent)).select("a", "b").distinct()
+        .join(
+            _union(tried).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+            ["a", "b"], "left_anti",
         )
-        .select("a", "b")
-        .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
-    more = stage(confirmed(second, single, size, percent))
-    final = components(links.unionByName(more)).toDF("rep", "component")
+    links.append(stage(confirmed(second, single, size, percent)))
+    final = components(_union(links)).toDF("rep", "component")
     homes = members.select("doc_id", "rep").join(final, "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component_id")
     ).dropDuplicates(["doc_id"])
@@ -212,7 +293,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
-    discard(signed, members, shared, first, texts, links, rest, second, more)
+    discard(signed, members, crowded, shared, texts, open_rows, rest, second, *tried, *links)
     return out
 
 
