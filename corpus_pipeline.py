@@ -4,17 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import minhash
+from tradewind.llm import minhash, mixing, packing, quality, suffixes
 from tradewind.llm.common import stage, table
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one of the least id."""
     return minhash.drop_near_duplicates(docs)
 
 
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in strings of 400 that occur elsewhere go from the texts; rows all stay."""
+    return suffixes.without_repeats(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the order of the fair schedule; those of small sources come again where
+    their source's weight asks for it."""
+    return mixing.mixed(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of tokenised documents and the sequences they are packed into."""
+    return packing.packed(docs)
+
+
 STAGES = [
-    ("minhash_near_dedup", near_copies),
+    ("quality_classifier", good_documents),
+    ("minhash_near_dedup", without_near_copies),
+    ("suffix_array_dedup", without_repeats),
+    ("mixing_to_weights", mixed),
+    ("best_fit_packing", sequences),
 ]
 
 
@@ -26,5 +51,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# A trained classifier and tokenizer files are no SQL.
+# A trained classifier and a tokenizer's files are no SQL.
 ORACLE_SQL = None

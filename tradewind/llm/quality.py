@@ -49,13 +49,17 @@ def _fit(texts: pa.Array, labels: np.ndarray) -> np.ndarray:
     return model.weights()
 
 
+def _scores(w: np.ndarray, texts: pa.Array) -> np.ndarray:
+    found, at = _grams(*common.text_bytes(texts))
+    total = common.per_text(np.add, w[found], at, 0.0)
+    return sigmoid(total * SCALE / np.maximum(np.diff(at), 1) + w[BUCKETS])
+
+
 def _score(w: np.ndarray):
     def run(batches):
         for batch in batches:
             for part in common.slices(batch, "text"):
-                found, at = _grams(*common.text_bytes(part.column("text")))
-                total = common.per_text(np.add, w[found], at, 0.0)
-                score = sigmoid(total * SCALE / np.maximum(np.diff(at), 1) + w[BUCKETS])
+                score = _scores(w, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(score)],
                     ["doc_id", "held_out", "score"],
@@ -64,6 +68,25 @@ def _score(w: np.ndarray):
     return run
 
 
+def _accept(w: np.ndarray, threshold: float):
+    def run(batches):
+        for batch in batches:
+            for part in common.slices(batch, "text"):
+                yield part.filter(pa.array(_scores(w, part.column("text")) >= threshold))
+
+    return run
+
+
+def _weights(docs: DataFrame, labels: DataFrame) -> np.ndarray:
+    w = features.fitted(features.labelled_sample(docs, labels, "quality"), _fit)
+    return np.zeros(BUCKETS + 1) if w is None else w
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``, all columns kept."""
+    return docs.mapInArrow(_accept(_weights(docs, labels), threshold), docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``.
 
@@ -72,9 +95,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     the score of the bias alone. Without any labels all scores are 0.5. A row without doc_id
     counts as not held out.
     """
-    w = features.fitted(features.labelled_sample(docs, labels, "quality"), _fit)
-    if w is None:
-        w = np.zeros(BUCKETS + 1)
+    w = _weights(docs, labels)
     held = F.coalesce(common.held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), held, "text")

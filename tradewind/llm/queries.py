@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import minhash, quality, suffixes, toxicity
+from tradewind.llm import minhash, mixing, packing, quality, suffixes, toxicity
 from tradewind.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fair schedule of all documents, sources weighted by their size to the power 0.9."""
+    return mixing.schedule(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -30,12 +35,19 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and packed into sequences of 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
+        "op2_mixing": op2_mixing,
         "op4_quality": op4_quality,
         "op5_toxicity": op5_toxicity,
         "op6_suffix_array": op6_suffix_array,
+        "op9_packing": op9_packing,
     }
 
 
