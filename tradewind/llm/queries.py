@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import minhash, mixing, packing, quality, suffixes, toxicity
+from tradewind.llm import flatgraph, language, minhash, mixing, neighbours, packing, quality, suffixes, toxicity
 from tradewind.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op3_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all embeddings."""
+    return flatgraph.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -35,19 +40,32 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents."""
+    return language.predicted_languages(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised and packed into sequences of 2048 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op10_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest of all embeddings for every twentieth one."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
         "op2_mixing": op2_mixing,
+        "op3_flat_graph": op3_flat_graph,
         "op4_quality": op4_quality,
         "op5_toxicity": op5_toxicity,
         "op6_suffix_array": op6_suffix_array,
+        "op7_language": op7_language,
         "op9_packing": op9_packing,
+        "op10_multiprobe": op10_multiprobe,
     }
 
 
@@ -78,5 +96,22 @@ FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
 
+# Components follow all links; the table has no missing or zero vectors.
+_FLAT_GRAPH = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other
+), counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n_links), 0) AS n_links, min(other) AS component_id,
+  vec_id = min(other) AS kept
+FROM reach LEFT JOIN counts USING (vec_id) GROUP BY vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": _MINHASH}
+    return {"op1_minhash": _MINHASH, "op3_flat_graph": _FLAT_GRAPH}
