@@ -9,17 +9,16 @@
    bits agree by chance, and checked by a parity sketch of the whole sets; only pairs well
    below the threshold are left out.
 4. Candidates are confirmed on full shingle sets, rebuilt from the texts. In the first round
-   each class meets the best partner among the heads of its bands, in the next ones the three
-   best of some members of the main component of each band. Last, all pairs of a band that
-   are not yet in one component are compared. So a group of n near copies costs some n
-   comparisons, not n squared, and no link that joins two components is left out.
+   each class meets the best partner among the heads (least ids) of its bands. In the second,
+   all pairs of a band that are not yet in one component are compared. So a group of n near
+   copies costs some n comparisons, not n squared, and no link that joins two components is
+   left out.
 
 Ids must not repeat for different texts; rows that repeat an id count as one document.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +35,6 @@ MINIMA = BANDS * ROWS
 PACKED = MINIMA * BITS // 64
 # Estimates this far below the threshold are still confirmed: 3.9 standard deviations.
 SLACK = 0.155
-# Rounds of sampled comparisons before the last, complete one.
-TURNS = 1
 # Bits of the parity sketch of the whole set, and the standard deviations allowed for it.
 SKETCH, DEVIATIONS = 1024, 4.0
 
@@ -165,35 +162,10 @@ def _near_enough(percent: int) -> Column:
     return sizes & minima & _apart_at_most(percent)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return functools.reduce(DataFrame.unionByName, frames)
-
-
-def _best(pairs: DataFrame, n: int) -> DataFrame:
-    """For each b the n partners of the highest estimate; b has at most a few per band."""
-    near = F.struct(estimate(F.col("bits_a"), F.col("bits_b")).alias("e"), (-F.col("a")).alias("minus"))
-    ranked = pairs.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(near), asc=False), 1, n).alias("best"))
-    return ranked.select(F.explode("best.minus").alias("a"), "b").withColumn("a", -F.col("a"))
-
-
-def _sampled(rest: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b): each member of a band outside its main component with three members of it.
-
-    The three are those of the greatest hash, another hash in each turn, so the many bands of a
-    document bring it together with many members of the group next to it.
-    """
-    parts = rest.groupBy("band", "component").agg(
-        F.count("*").alias("n"),
-        *[F.max_by("id", F.xxhash64("id", F.lit(3 * turn + j))).alias(f"p{j}") for j in range(3)],
-    )
-    main = parts.groupBy("band").agg(
-        F.max(F.struct("n", (-F.col("component")).alias("minus"), "p0", "p1", "p2")).alias("m")
-    )
-    return (
-        rest.join(main, "band").where("component <> -m.minus")
-        .select(F.explode(F.array("m.p0", "m.p1", "m.p2")).alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each b the partner a of the highest estimate."""
+    near = F.struct(estimate(F.col("bits_a"), F.col("bits_b")), -F.col("a"))
+    return pairs.groupBy("b").agg(F.max_by("a", near).alias("a")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -219,25 +191,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     reps = members.where("bands IS NOT NULL").dropDuplicates(["doc_id"])
     # Rows of a band key that at least two classes share.
     keyed = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))
-    sizes = keyed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    crowded = stage(keyed.join(sizes, "band"))
-    company = crowded.groupBy("id").agg(F.sum("n").alias("company"))
-    heads = (
-        crowded.join(company, "id").groupBy("band")
-        .agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("top"))
-        .select("band", (-F.col("top.minus")).alias("head"))
-    )
-    shared = stage(crowded.join(heads, "band").select("band", "id", "head"))
+    heads = keyed.groupBy("band").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
+    shared = stage(keyed.join(heads, "band").select("band", "id", "head"))
 
-    known = reps.select(F.col("doc_id").alias("id"), "n_shingles", "bits", "sketch")
-    side_a = known.toDF("a", "n_a", "bits_a", "sketch_a")
-    side_b = known.toDF("b", "n_b", "bits_b", "sketch_b")
+    known = reps.select(F.col("doc_id").alias("id"), "n_shingles", "bits", "sketch", "bands")
+    side_a = known.drop("bands").toDF("a", "n_a", "bits_a", "sketch_a")
+    side_b = known.drop("bands").toDF("b", "n_b", "bits_b", "sketch_b")
 
     def plausible(pairs: DataFrame) -> DataFrame:
         return pairs.join(side_a, "a").join(side_b, "b").where(_near_enough(percent))
 
     starred = shared.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    first = stage(_best(plausible(starred), 1))
+    first = stage(_best(plausible(starred)))
     # Texts of all classes that share a band: every pair to confirm is among them.
     wanted = shared.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(
@@ -245,46 +210,36 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         "zstd",
     )
     single = texts.dropDuplicates(["doc_id"]) if _repeats(reps, signed) else texts
-    tried = [first]
-    links = [stage(confirmed(first, single, size, percent))]
-
-    def placed() -> DataFrame:
-        """Rows of the bands that still hold several components."""
-        grouped = components(_union(links))
-        rows = shared.join(grouped, "id", "left").select(
-            "band", "id", F.coalesce("component", "id").alias("component")
-        )
-        mixed = (
-            rows.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .where("lo <> hi").select("band")
-        )
-        return stage(rows.join(mixed, "band"))
-
-    for turn in range(TURNS):
-        rest = placed()
-        pairs = stage(_best(plausible(_sampled(rest, turn)), 3).select("a", "b"))
-        links.append(stage(confirmed(pairs, single, size, percent)))
-        tried.append(pairs)
-        discard(rest)
-
-    # Last, all pairs of a band in different components that were not tried yet.
-    open_rows = placed()
-    rest = stage(open_rows.join(known, "id"))
+    links = stage(confirmed(first, single, size, percent))
+    grouped = stage(components(links))
+
+    # Last, all pairs of a band that lie in different components and were not tried yet.
+    placed = shared.join(grouped, "id", "left").select(
+        "band", "id", F.coalesce("component", "id").alias("component")
+    )
+    mixed = (
+        placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo <> hi").select("band")
+    )
+    rest = stage(placed.join(mixed, "band").join(known, "id"))
     x = rest.select(
-        "band", F.col("id").alias("a"), F.col("component").alias("component_a"),
-        F.col("n_shingles").alias("n_a"), F.col("bits").alias("bits_a"), F.col("sketch").alias("sketch_a"),
+        "band", F.col("id").alias("a"), F.col("component").alias("component_a"), F.col("n_shingles").alias("n_a"),
+        F.col("bits").alias("bits_a"), F.col("sketch").alias("sketch_a"), F.col("bands").alias("bands_a"),
     )
-    y = x.toDF("band", "b", "component_b", "n_b", "bits_b", "sketch_b")
+    y = x.toDF("band", "b", "component_b", "n_b", "bits_b", "sketch_b", "bands_b")
     apart = (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
-    second = stage(
-        x.join(y, (x["band"] == y["band"]) & apart & _near_enough(percent)).select("a", "b").distinct()
-        .join(
-            _union(tried).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-            ["a", "b"], "left_anti",
-        )
+    # A pair that shares several bands counts in one of them.
+    once = x["band"] == F.array_min(F.array_intersect("bands_a", "bands_b"))
+    second = (
+        x.join(y, (x["band"] == y["band"]) & apart & _near_enough(percent) & once).select("a", "b")
+        .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
-    links.append(stage(confirmed(second, single, size, percent)))
-    final = components(_union(links)).toDF("rep", "component")
+    more = stage(confirmed(second, single, size, percent))
+    final = grouped
+    if more.head(1):
+        joined = grouped.toDF("a", "b").where("a <> b").unionByName(more)
+        final = components(joined)
+    final = final.toDF("rep", "component")
     homes = members.select("doc_id", "rep").join(final, "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component_id")
     ).dropDuplicates(["doc_id"])
@@ -293,7 +248,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
-    discard(signed, members, crowded, shared, texts, open_rows, rest, second, *tried, *links)
+    discard(signed, members, shared, first, texts, links, grouped, rest, more)
     return out
 
 
