@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import flatgraph, language, minhash, mixing, neighbours, packing, quality, suffixes, toxicity
+from tradewind.llm import chaining, flatgraph, language, minhash, mixing, neighbours, packing, quality, suffixes, toxicity
 from tradewind.llm.common import table
 
 
@@ -45,6 +45,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share, edits allowed."""
+    return chaining.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised and packed into sequences of 2048 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"))
@@ -64,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_suffix_array": op6_suffix_array,
         "op7_language": op7_language,
+        "op8_chaining": op8_chaining,
         "op9_packing": op9_packing,
         "op10_multiprobe": op10_multiprobe,
     }
