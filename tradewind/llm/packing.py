@@ -17,6 +17,7 @@ over the parts, and looks its sequence and offset up in the plan.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -32,6 +33,8 @@ from tradewind.llm.common import discard, stage
 CAPACITY = 2048
 # Distinct chunks of text whose ids a task keeps at most; longer ones are not kept.
 KEPT_CHUNKS, KEPT_BYTES = 400_000, 64
+# Text that is encoded in one call.
+JOINED_BYTES = 1 << 14
 # Pieces of one length that one part numbers by itself.
 NUMBERED = 20_000
 
@@ -46,9 +49,14 @@ class Encoder:
     """Token ids of whole texts, chunk by chunk, each distinct short chunk encoded once."""
 
     def __init__(self, path: str):
+        # Spark's tasks share the cores already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A byte-level token has one letter for each byte it stands for.
+        names = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
+        self.sizes = np.array([len(name) for name in names], dtype=np.int64)
         self.clear()
 
     def clear(self) -> None:
@@ -56,11 +64,38 @@ class Encoder:
         self.at = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch([r.decode() for r in raw], add_special_tokens=False)]
+    def _separately(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in raw], add_special_tokens=False)]
         at = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
         return np.array([i for f in found for i in f], dtype=np.uint32), at
 
+    def _encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some chunks and their ranges.
+
+        Chunks that open with a space are encoded as one text and told apart by the bytes their
+        ids stand for: no word of the tokenizer crosses from one into the next.
+        """
+        spaced = np.array([r[:1] == b" " and len(r) > 1 and _OPEN[r[1]] for r in raw], dtype=bool)
+        joined = [r for r, s in zip(raw, spaced) if s]
+        edges = np.concatenate([[0], np.cumsum([len(r) for r in joined])]).astype(np.int64)
+        texts, lo = [], 0
+        while lo < len(joined):
+            hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + JOINED_BYTES, side="right")) - 1)
+            texts.append(b"".join(joined[lo:hi]))
+            lo = hi
+        together, _ = self._separately(texts)
+        reach = np.concatenate([[0], np.cumsum(self.sizes[together])])
+        cuts = np.searchsorted(reach, edges)
+        if not (reach[cuts] == edges).all():
+            return self._separately(raw)
+        alone, alone_at = self._separately([r for r, s in zip(raw, spaced) if not s])
+        size = np.zeros(len(raw), np.int64)
+        start = np.zeros(len(raw), np.int64)
+        size[spaced], start[spaced] = np.diff(cuts), cuts[:-1]
+        size[~spaced], start[~spaced] = np.diff(alone_at), alone_at[:-1] + len(together)
+        pool = np.concatenate([together, alone])
+        return pool[ranges(start, size)], np.concatenate([[0], np.cumsum(size)])
+
     def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
         ids, at = self._encode(raw)
         all_hashes = np.concatenate([self.hashes, hashes])
