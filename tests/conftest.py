@@ -25,14 +25,6 @@ def database(spark, tmp_path):
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
-@pytest.fixture
-def two_pass(monkeypatch):
-    """Make every ordering take the path meant for large inputs."""
-    from tradewind.operators import staging
-
-    monkeypatch.setattr(staging, "SINGLE_TASK_BYTES", -1)
-
-
 def rows(df, *order):
     """Collected rows as tuples in a stable order."""
     got = [tuple(r) for r in df.collect()]

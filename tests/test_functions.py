@@ -109,3 +109,13 @@ def test_selected_value_and_summary(spark):
     assert [tuple(r) for r in summarize(facts, ["year"]).collect()] == [(2020, 7.0)]
     with pytest.raises(ValueError):
         summarize(facts, ["year"], ["country_id"])
+
+
+def test_only_plain_finite_numbers_are_numbers(spark):
+    texts = ["1.5", " -2 ", "1e3", ".5", "NaN", "Infinity", "-inf", "1d", "2f", "1e999", "", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(numbers.to_double("t")).collect()]
+    assert got == [1.5, -2.0, 1000.0, 0.5] + [None] * 9
+    assert [r[0] for r in df.select(numbers.to_whole("t")).collect()] == [1, -2, 1000, 0] + [None] * 9
+    growth = numbers.compound_growth(F.lit(-1.0), F.lit(2.0), F.lit(2))
+    assert df.select(growth).first()[0] is None

@@ -28,7 +28,7 @@ def test_minmax_by_group(spark):
     )
 
 
-def test_minmax_by_large_path_is_the_same(spark, two_pass):
+def test_minmax_by_large_path_is_the_same(spark):
     rng = random.Random(1)
     data = [(rng.choice([1, 1, 1, 2, 3]), rng.uniform(-9, 9), rng.randint(0, 5)) for _ in range(300)]
     df = spark.createDataFrame(data, "g int, a double, b int")
@@ -69,22 +69,18 @@ def test_winsorise_empty_and_sketch(spark):
     assert scaled.agg(F.min("n"), F.max("n")).first()[:] == (0.0, 1.0)
 
 
-def test_quantiles_of_both_paths(spark, monkeypatch):
-    from tradewind.operators import staging
-
+def test_quantiles_are_exact(spark):
     rng = random.Random(3)
     values = [rng.choice([7.0] * 400 + list(range(300))) * 1.0 for _ in range(997)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 5, "v double").repartition(5)
     probs = {"a": 0.01, "b": 0.06, "c": 0.5, "d": 0.98, "e": 1.0}
     want = [sorted(values)[max(math.ceil(p * len(values)), 1) - 1] for p in probs.values()]
     assert list(ordering.exact_quantiles(df, "v", probs).first()) == want
-    monkeypatch.setattr(staging, "SINGLE_TASK_BYTES", -1)
-    assert list(ordering.exact_quantiles(df, "v", probs).first()) == want
     empty = ordering.exact_quantiles(df.where("v < -1"), "v", probs).first()
     assert list(empty) == [None] * 5
 
 
-def test_surrogate_ids_large_path(spark, two_pass):
+def test_surrogate_ids_large_path(spark):
     names = [f"{i % 3}-{i:05d}" for i in range(5000)]
     df = spark.createDataFrame([(n,) for n in names], "n string").repartition(7)
     got = dict((r["n"], r["i"]) for r in ordering.surrogate_ids(df, ["n"], "i").collect())
@@ -135,3 +131,11 @@ def test_biggest_or_other(spark):
     assert got == {"a": "a", "b": "b", "c": "c", "d": "Other", "e": "Other"}
     few = dict(map(tuple, biggest_or_other(df, "s", "t", 7).collect()))
     assert few == {k: k for k in "abcdef"}
+
+
+def test_nan_does_not_blank_a_scale(spark):
+    df = spark.createDataFrame([(1.0, 1), (3.0, 1), (float("nan"), 1), (float("inf"), 1)], "v double, g int")
+    want = [(1.0, 0.0), (3.0, 1.0)]
+    for got in (scaling.minmax_overall(df, {"v": "n"}), scaling.minmax_by(df, {"v": "n"}, "g")):
+        assert rows(got.where("v < 10").select("v", "n")) == want
+        assert [r[0] for r in got.where("NOT v < 10").select("n").collect()] == [None, None]

@@ -12,15 +12,26 @@ def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A plain number: no NaN, no Infinity, no type letter at the end.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def finite(c: str | Column) -> Column:
+    """The number, or NULL where it is NaN or infinite."""
+    c = as_column(c)
+    return F.when(F.abs(c.cast("double")) < float("inf"), c)
+
+
 def to_double(c: str | Column) -> Column:
-    """Text to double; anything unreadable becomes NULL."""
-    return as_column(c).try_cast("double")
+    """Text to double; anything but a plain finite number becomes NULL."""
+    c = as_column(c)
+    return finite(F.when(c.cast("string").rlike(_NUMBER), c.try_cast("double")))
 
 
 def to_whole(c: str | Column, kind: str = "int") -> Column:
     """Text to a whole number. '12.5' is cut to 12, unreadable text is NULL."""
     c = as_column(c)
-    return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind))
+    return F.coalesce(c.try_cast(kind), to_double(c).try_cast(kind))
 
 
 def strip_symbol(c: str | Column, symbol: str = "€") -> Column:
@@ -42,8 +53,8 @@ def unit_scale(value: Column, low: Column, high: Column) -> Column:
 
 
 def compound_growth(first: Column, last: Column, steps: Column) -> Column:
-    """Mean growth per step; NULL for a zero start or zero steps."""
-    return F.pow(F.try_divide(last, first), F.try_divide(F.lit(1.0), steps)) - F.lit(1.0)
+    """Mean growth per step; NULL for a zero start, zero steps, or a change of sign."""
+    return finite(F.pow(F.try_divide(last, first), F.try_divide(F.lit(1.0), steps)) - F.lit(1.0))
 
 
 def blank_sum(*terms: Column) -> Column:

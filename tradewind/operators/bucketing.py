@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.operators.ordering import nth_largest
-from tradewind.operators.staging import sized
+from tradewind.operators.staging import materialise
 
 
 def biggest_or_other(
@@ -25,7 +25,7 @@ def biggest_or_other(
     in one task. Groups without a known total rank after all others.
     """
     rows = df if recent is None else df.where(recent)
-    totals = sized(
+    totals = materialise(
         rows.groupBy(group).agg(
             F.coalesce(F.sum(amount), F.lit(float("-inf"))).alias("__total")
         )

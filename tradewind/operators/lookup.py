@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.staging import sized
+from tradewind.operators.staging import materialise
 
 
 def with_country_id(
@@ -33,10 +33,13 @@ def normal_name(c: str | Column) -> Column:
 def names_to_codes(df: DataFrame, aliases: DataFrame, names: dict[str, str]) -> DataFrame:
     """Add an ISO3 column per name column from an alias table ``(alias, iso3)``.
 
-    Matching ignores case and outer blanks; an unknown name gives NULL.
+    Matching ignores case and outer blanks; a name that is unknown or
+    stands for several codes gives NULL, and ``unmatched_names`` counts it.
     """
-    lookup = sized(
-        aliases.groupBy(normal_name("alias").alias("__alias")).agg(F.min("iso3").alias("__iso3"))
+    lookup = materialise(
+        aliases.groupBy(normal_name("alias").alias("__alias")).agg(
+            F.when(F.min("iso3") == F.max("iso3"), F.min("iso3")).alias("__iso3")
+        )
     )
     for name, into in names.items():
         one = lookup.select("__alias", F.col("__iso3").alias(into))

@@ -1,7 +1,7 @@
 """Idempotent merges written as joins.
 
-A NULL key never matches. Rows with one are given a salt so that they spread over
-all tasks instead of meeting in the task of the NULL hash.
+A NULL key never matches. Rows with one go round the joins, so they never meet in
+the task of the NULL hash.
 """
 
 from __future__ import annotations
@@ -10,25 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.keys import whole_key
-from tradewind.operators.staging import broadcastable
 
-_SALT = "__salt"
 _HIT = "__hit"
 
 
-def _salted(df: DataFrame, keys: list[str]) -> DataFrame:
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.withColumn(_SALT, F.when(whole_key(*keys), F.lit(0).cast("long")).otherwise(spread))
-
-
 def _held_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Whole keys of the target. Few updates are first broadcast against it, so that
-    only the keys they share leave the scan of a large target."""
+    """Whole keys of the target that the updates ask for. Few updates are broadcast against it
+    by the planner, so that only the keys they share leave the scan of a large target."""
     held = target.where(whole_key(*keys)).select(*keys)
-    asked = updates.select(*keys)
-    if broadcastable(asked):
-        held = held.join(asked, keys, "left_semi")
-    return held.withColumn(_SALT, F.lit(0).cast("long"))
+    return held.join(updates.select(*keys), keys, "left_semi")
 
 
 def within_range_of(target: DataFrame, updates: DataFrame, column: str) -> DataFrame:
@@ -52,11 +42,9 @@ def rows_to_insert(
     """
     if range_key is not None:
         target = within_range_of(target, updates, range_key)
-    return (
-        _salted(updates, keys)
-        .join(_held_keys(target, updates, keys), [*keys, _SALT], "left_anti")
-        .select(*updates.columns)
-    )
+    whole = updates.where(whole_key(*keys))
+    new = whole.join(_held_keys(target, whole, keys), keys, "left_anti")
+    return new.select(*updates.columns).unionByName(updates.where(~whole_key(*keys)))
 
 
 def insert_only_merge(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,52 +88,35 @@ def upsert(
     """Target after an update of matched rows and an insert of unmatched ones.
 
     A matched source NULL overwrites. Unmatched source rows are all inserted, also
-    duplicates. A large source known to be unique (``unique_source``) takes one full
-    outer join for both steps. Otherwise the update side is reduced to one row per key
-    and joined to the target, and the inserts come from an anti join; a source small
-    enough to be broadcast then leaves the target unshuffled.
+    duplicates. The update side is reduced to one row per key and joined to the target,
+    and the inserts come from an anti join: both are joins that adaptive execution can
+    split on a busy key. ``unique_source`` promises one source row per key; a key that
+    comes twice is then refused. Rows with a NULL key go round the joins.
     """
     columns = target.columns
-    if unique_source and not broadcastable(source):
-        s = _salted(source.select(*keys, *values), keys).select(
-            *keys, _SALT, *[F.col(v).alias(f"__s_{v}") for v in values], F.lit(True).alias(_HIT)
-        )
-        both = _salted(target, keys).join(s, [*keys, _SALT], "full")
-        return both.select(
-            *[
-                F.when(F.col(_HIT), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
-                if c in values
-                else F.col(c)
-                for c in columns
-            ]
-        )
+    given = source.select(*keys, *values)
+    latest = one_per_key(source, keys, values, prefer, "error" if unique_source else on_duplicate)
     if unique_source:
-        latest = source.where(whole_key(*keys)).select(*keys, *values)
-    else:
-        latest = one_per_key(source, keys, values, prefer, on_duplicate)
+        twice = F.raise_error(F.lit("several source rows have one key")).cast("boolean")
+        latest = latest.where(F.when(F.col("__many"), twice).otherwise(True)).drop("__many")
+        given = latest.unionByName(given.where(~whole_key(*keys)))
     refusing = "__many" in latest.columns
     s = latest.select(
         *keys,
-        F.lit(0).cast("long").alias(_SALT),
         *[F.col(v).alias(f"__s_{v}") for v in values],
         (F.col("__many") if refusing else F.lit(False)).alias("__many"),
         F.lit(True).alias(_HIT),
     )
     refused = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
     hit = F.when(F.col("__many"), refused).otherwise(F.col(_HIT))
-    updated = (
-        _salted(target, keys)
-        .join(s, [*keys, _SALT], "left")
-        .select(
-            *[
-                F.when(hit, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
-                if c in values
-                else F.col(c)
-                for c in columns
-            ]
-        )
-    )
-    inserted = rows_to_insert(target, source.select(*keys, *values), keys)
+    matched = target.where(whole_key(*keys)).join(s, keys, "left")
+    updated = matched.select(
+        *[
+            F.when(hit, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            for c in columns
+        ]
+    ).unionByName(target.where(~whole_key(*keys)))
+    inserted = rows_to_insert(target, given, keys)
     return updated.unionByName(inserted, allowMissingColumns=True).select(*columns)
 
 

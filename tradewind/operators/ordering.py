@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.operators.staging import fits_one_task, materialise
+from tradewind.operators.staging import materialise
 
 _PART = "__part"
 _RUN = "__run"
@@ -19,9 +19,6 @@ def running_total(df: DataFrame, order: list[str], amount: Column, into: str) ->
     are added. ``order`` should be unique; equal rows share no single task as long
     as the full order differs.
     """
-    if fits_one_task(df):
-        frame = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(into, F.sum(amount).over(frame))
     parts = materialise(
         df.withColumn(_RUN, amount)
         .repartitionByRange(*[F.col(c) for c in order])
@@ -48,8 +45,7 @@ def running_total(df: DataFrame, order: list[str], amount: Column, into: str) ->
 
 def surrogate_ids(df: DataFrame, order: list[str], into: str) -> DataFrame:
     """Consecutive ids from 1 in the given order."""
-    numbered = running_total(df, order, F.lit(1).cast("long"), into)
-    return numbered.withColumn(into, F.col(into).cast("int"))
+    return running_total(df, order, F.lit(1).cast("long"), into)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
@@ -59,11 +55,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float]) -> DataF
     combine), then a running total over the distinct values finds every share at once.
     """
     known = df.select(value).where(F.col(value).isNotNull())
-    counts = known.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    total = known.agg(F.count(F.lit(1)).alias("total")).scalar()
-    if not fits_one_task(known):
-        counts = materialise(counts)
-        total = counts.agg(F.sum("n").alias("total")).scalar()
+    counts = materialise(known.groupBy(value).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n").alias("total")).scalar()
     covered = running_total(counts, [value], F.col("n"), "upto")
     return covered.agg(
         *[

@@ -36,7 +36,9 @@ class Between:
             bad = bad | (F.col(self.column) < self.low)
         if self.high is not None:
             bad = bad | (F.col(self.column) > self.high)
-        return F.coalesce(bad, F.lit(False))
+        # NaN stands above every number, so it would pass a lower limit.
+        number = F.col(self.column).try_cast("double")
+        return F.coalesce(bad | F.isnan(number) | (F.abs(number) == float("inf")), F.lit(False))
 
 
 @dataclass(frozen=True)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.numbers import unit_scale
+from tradewind.functions.numbers import finite, unit_scale
 from tradewind.operators.ordering import exact_quantiles, sketch_quantiles
-from tradewind.operators.staging import sized
+from tradewind.operators.staging import materialise
 
 
 def _targets(values: str | dict[str, str]) -> dict[str, str]:
@@ -20,16 +20,16 @@ def minmax_by(df: DataFrame, values: str | dict[str, str], by: str) -> DataFrame
     ``values`` is a column name or a mapping from column to result name. The
     extremes come from one grouped aggregate with map-side combine, so a group
     holding most rows is never gathered in one task, and are joined back. NULL
-    stays NULL, a constant group gives NULL. ``df`` is read twice: pass a table.
+    and NaN give NULL, as does a constant group. ``df`` is read twice: pass a table.
     """
     targets = _targets(values)
     bounds = []
     for i, c in enumerate(targets):
-        bounds += [F.min(c).alias(f"__lo{i}"), F.max(c).alias(f"__hi{i}")]
-    stats = sized(df.groupBy(F.col(by).alias("__by")).agg(*bounds))
+        bounds += [F.min(finite(c)).alias(f"__lo{i}"), F.max(finite(c)).alias(f"__hi{i}")]
+    stats = materialise(df.groupBy(F.col(by).alias("__by")).agg(*bounds))
     joined = df.join(stats, F.col(by).eqNullSafe(F.col("__by")))
     scaled = [
-        unit_scale(F.col(c), F.col(f"__lo{i}"), F.col(f"__hi{i}")).alias(name)
+        unit_scale(finite(c), F.col(f"__lo{i}"), F.col(f"__hi{i}")).alias(name)
         for i, (c, name) in enumerate(targets.items())
     ]
     return joined.select(*[F.col(c) for c in df.columns], *scaled)
@@ -44,10 +44,10 @@ def minmax_overall(df: DataFrame, values: str | dict[str, str]) -> DataFrame:
     targets = _targets(values)
     bounds = []
     for i, c in enumerate(targets):
-        bounds += [F.min(c).alias(f"low{i}"), F.max(c).alias(f"high{i}")]
+        bounds += [F.min(finite(c)).alias(f"low{i}"), F.max(finite(c)).alias(f"high{i}")]
     extremes = df.agg(F.struct(*bounds).alias("extremes")).scalar()
     scaled = [
-        unit_scale(F.col(c), extremes[f"low{i}"], extremes[f"high{i}"]).alias(name)
+        unit_scale(finite(c), extremes[f"low{i}"], extremes[f"high{i}"]).alias(name)
         for i, (c, name) in enumerate(targets.items())
     ]
     return df.select("*", *scaled)

@@ -1,4 +1,4 @@
-"""Written intermediate tables and the size checks that rest on them.
+"""Written intermediate tables.
 
 A frame used by several branches is written once as Parquet below the shared
 folder named by ``spark.checkpoint.dir`` and read back. That cuts the lineage,
@@ -14,9 +14,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Largest input, by the optimizer's estimate, that one task may order by itself.
-SINGLE_TASK_BYTES = 8 * 1024 * 1024
-
 _local_roots: dict[str, str] = {}
 
 
@@ -46,28 +43,3 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{staging_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; reads file sizes, starts no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcastable(df: DataFrame) -> bool:
-    """Whether the planner, by its size estimate, would broadcast this frame."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimated_bytes(df) <= limit
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    return estimated_bytes(df) <= SINGLE_TASK_BYTES
-
-
-def sized(df: DataFrame) -> DataFrame:
-    """``df`` with a size the planner can trust.
-
-    The estimate of an aggregate over a large input is as large as the input.
-    Writing the aggregate replaces the guess by a measured size, which lets a
-    small one be broadcast and sends a large one through a shuffled join.
-    """
-    return df if fits_one_task(df) else materialise(df)

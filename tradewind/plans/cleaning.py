@@ -22,6 +22,7 @@ from tradewind.operators.quality import (
     run_checks,
     suite_message,
 )
+from tradewind.operators.staging import materialise
 from tradewind.schemas import SILVER, conform
 from tradewind.sources import landing, tables
 
@@ -125,7 +126,12 @@ MERGE_KEYS = {
     "tariff": ["reporting_country", "partner_country", "year", "product_code"],
 }
 # The merge key whose range limits how much of the table is read.
-RANGE_KEYS = {"prices_silver": "begin_date", "production_silver": "year", "tariff": "year"}
+RANGE_KEYS = {
+    "prices_silver": "begin_date",
+    "production_silver": "year",
+    "trade_silver": "month_date",
+    "tariff": "year",
+}
 PARTITIONS = {
     "prices_silver": ["year"],
     "production_silver": ["year"],
@@ -245,6 +251,11 @@ def validate_landed(
     are logged and stop it. Returns the logged messages of the row rules.
     """
     messages: DataFrame | None = None
+
+    def log_gathered() -> None:
+        if messages is not None:
+            _log(log_rows(messages, day), log_table)
+
     for dataset in CHECKED:
         path = landing.landing_path(root, YEARLY[dataset].landed, day)
         name = path.rsplit("/", 1)[-1]
@@ -252,19 +263,23 @@ def validate_landed(
         try:
             found = landing.read_csv_header(spark, path)
         except Exception as problem:
+            log_gathered()
             _log(error_row(spark.range(1), f"💥 Error processing {name}: {problem}", day), log_table)
             raise ValidationStopped(f"cannot read {name}") from problem
         if found != wanted:
             text = f"❌ Missing or incorrect columns in file {path}. Expected: {wanted}"
+            log_gathered()
             _log(error_row(spark.range(1), text, day), log_table)
             raise ValidationStopped(text)
         frame = landing.read_csv(spark, path, wanted)
         assert columns_match(frame, wanted)
         # A number that is no number counts as missing, as for the typed table.
         values = {c: numbers.to_double(c) for c in YEARLY[dataset].renames}
-        one = suite_message(run_checks(frame.withColumns(values), checks_for(dataset)), name)
+        one = materialise(
+            suite_message(run_checks(frame.withColumns(values), checks_for(dataset)), name)
+        )
         messages = one if messages is None else messages.unionByName(one)
-    _log(log_rows(messages, day), log_table)
+    log_gathered()
     return messages
 
 

@@ -10,7 +10,7 @@ from tradewind.operators.growth import windowed_cagr
 from tradewind.operators.lookup import with_country_id
 from tradewind.operators.ordering import surrogate_ids
 from tradewind.operators.scaling import minmax_by, minmax_overall, winsorised_minmax
-from tradewind.operators.staging import materialise, sized
+from tradewind.operators.staging import materialise
 from tradewind.schemas import MARKET
 from tradewind.sources import reference, tables
 
@@ -30,7 +30,8 @@ def country_dimension(
         F.when(is_eu, 1).otherwise(0).alias("is_eu"),
         F.when(F.col("iso3").isin(*late), 1).otherwise(0).alias("faostat_fallback"),
     )
-    return surrogate_ids(flagged, ["iso3", "name"], "country_id")
+    numbered = surrogate_ids(flagged, ["iso3", "name"], "country_id")
+    return numbered.withColumn("country_id", F.col("country_id").cast("int"))
 
 
 def partners(countries: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def gdp_forecast(gdp: DataFrame, countries: DataFrame) -> DataFrame:
         F.count("gdp_change_forecast").alias("n_years"),
     )
     return minmax_overall(
-        sized(means), {"gdp_forecast_growth_avg": "gdp_growth_forecast_normalized"}
+        materialise(means), {"gdp_forecast_growth_avg": "gdp_growth_forecast_normalized"}
     )
 
 
@@ -92,7 +93,7 @@ def import_growth(
 ) -> DataFrame:
     """Windowed growth per country, lower tail winsorised, then scaled."""
     return winsorised_minmax(
-        sized(windowed_cagr(imports, "import_tonnes", earliest=earliest)),
+        materialise(windowed_cagr(imports, "import_tonnes", earliest=earliest)),
         "import_CAGR",
         "import_CAGR_normalized",
         lower=lower,
@@ -129,7 +130,7 @@ def tariff_level(
         F.avg("tariff_average").alias("tariff_avg")
     )
     return winsorised_minmax(
-        sized(means), "tariff_avg", "tariff_avg_normalized", upper=upper, accuracy=accuracy
+        materialise(means), "tariff_avg", "tariff_avg_normalized", upper=upper, accuracy=accuracy
     )
 
 
@@ -145,7 +146,7 @@ def distance_pairs(distance: DataFrame, countries: DataFrame, anchor: str) -> Da
 
 def distance_level(pairs: DataFrame) -> DataFrame:
     """Distances scaled over the destinations."""
-    return minmax_overall(sized(pairs), "dist")
+    return minmax_overall(materialise(pairs), "dist")
 
 
 def trade_barriers(tariffs: DataFrame, distances: DataFrame) -> DataFrame:

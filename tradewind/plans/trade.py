@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import dates, keys
 from tradewind.operators.bucketing import biggest_or_other
-from tradewind.operators.staging import materialise, sized
+from tradewind.operators.staging import materialise
 from tradewind.schemas import TRADE
 from tradewind.sources import tables
 
@@ -45,21 +45,18 @@ def trade_rows(trade: DataFrame) -> DataFrame:
         )
     )
     latest_year = sums.agg(F.max("marketing_year").alias("y")).scalar()
-    last_months = sized(
+    last_months = materialise(
         sums.where(F.col("marketing_year") == latest_year)
         .groupBy("partner")
         .agg(F.max("month_order").alias("last_month"))
     )
+    # Unreadable years or months give several months one key; they become one row.
     month = dates.month_text("marketing_year", "month_order")
-    return sums.join(last_months, "partner").select(
-        "partner",
-        "flow",
-        "product_group",
-        "product_weight_in_tonnes",
-        "carcase_weight_in_tonnes",
-        "value_in_thousand_euro",
-        keys.state_month_key("member_state", month).alias("trade_key"),
-        "last_month",
+    keyed = sums.withColumn("trade_key", keys.state_month_key("member_state", month))
+    amounts = ["product_weight_in_tonnes", "carcase_weight_in_tonnes", "value_in_thousand_euro"]
+    rows = keyed.groupBy(*TRADE_KEYS).agg(*[F.sum(c).alias(c) for c in amounts])
+    return rows.join(last_months, "partner").select(
+        "partner", "flow", "product_group", *amounts, "trade_key", "last_month"
     )
 
 
@@ -142,7 +139,11 @@ def date_rows(bridge: DataFrame) -> DataFrame:
 def run_trade(
     spark: SparkSession, silver: str, database: str, as_of: dt.date | None = None
 ) -> None:
-    """Refresh the trade model from the cleaned tables; safe to repeat."""
+    """Refresh the trade model from the cleaned tables.
+
+    Facts with one source row per key, bridge and dates are the same after a repeat. Prices may
+    hold several rows of one key: they are all inserted once, and a repeat sets them to the first.
+    """
 
     def name(table: str) -> str:
         return f"{database}.{table}"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.merge import rows_to_insert, upsert
-from tradewind.operators.staging import materialise, sized
+from tradewind.operators.staging import materialise
 from tradewind.schemas import conform, layout
 
 
@@ -95,8 +95,7 @@ def upsert_table(
     target = spark.table(name)
     order = target.columns
     if partition_by is None:
-        if not unique_source:  # read by the update and by the insert
-            source = sized(source)
+        source = materialise(source)  # read by the update and by the insert
         merged = materialise(upsert(target, source, keys, values, unique_source).select(*order))
         merged.write.insertInto(name, overwrite=True)
         return

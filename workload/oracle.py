@@ -446,7 +446,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dim_calendar": "SELECT unnest(generate_series(min(year(o_orderdate)), "
         "max(year(o_orderdate)))) AS year FROM orders",
-        "surrogate_key": "SELECT CAST(row_number() OVER (ORDER BY p_name, p_partkey) AS INTEGER) "
+        "surrogate_key": "SELECT row_number() OVER (ORDER BY p_name, p_partkey) "
         "AS part_id, p_partkey FROM part",
         "fact_production": with_parts("SELECT * FROM fact_production", "fact_production"),
         "fact_consumption": with_parts("SELECT * FROM fact_consumption", "fact_consumption"),
