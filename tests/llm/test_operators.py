@@ -394,6 +394,13 @@ def test_chain_is_the_best_by_brute_force():
         assert (np.diff(a[best]) > 0).all() and (np.diff(b[best]) > 0).all()
 
 
+def test_a_second_passage_far_on_is_one_chain():
+    a = np.concatenate([np.arange(0, 200, 8), np.arange(400, 460, 8)])
+    b = np.concatenate([np.arange(0, 200, 8), np.arange(500, 560, 8)])
+    found = sorted((int(a[c[0]]), int(a[c[-1]]), len(c)) for c in chaining.chains(a, b))
+    assert found == [(0, 192, 25), (400, 456, 8)]
+
+
 def test_alignment_counts_across_an_insertion():
     x = np.arange(100, dtype=np.uint64)
     y = np.concatenate([x[:50], [900, 901, 902], x[50:]]).astype(np.uint64)
