@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import chaining, flatgraph, language, minhash, mixing, neighbours, packing, quality, suffixes, toxicity
+from tradewind.llm import (
+    chaining,
+    conversations,
+    flatgraph,
+    language,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    spelling,
+    suffixes,
+    tokenfiles,
+    toxicity,
+)
 from tradewind.llm.common import table
 
 
@@ -60,6 +74,21 @@ def op10_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the form they vary, a thirty-first of them damaged."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, written to addressable files and read back."""
+    return tokenfiles.token_digest(table(spark, sf_dir, "documents"), tokenfiles.tokenizer_path())
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    return conversations.repair_digest(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
@@ -72,6 +101,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chaining": op8_chaining,
         "op9_packing": op9_packing,
         "op10_multiprobe": op10_multiprobe,
+        "op11_spelling": op11_spelling,
+        "op12_token_files": op12_token_files,
+        "op13_conversations": op13_conversations,
     }
 
 
