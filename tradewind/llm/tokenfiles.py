@@ -22,10 +22,13 @@ than doc_id and text are not looked at; an empty table gives no files.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +46,13 @@ from tradewind.operators.staging import staging_root
 
 MAGIC = b"DACTOKS1"
 SHARD_IDS = 1 << 22
-# Distinct words whose ids a task keeps, and how many ids they may have.
-KEPT_WORDS, KEPT_IDS = 400_000, 1 << 22
+# Distinct words a generation of the encoder's memory holds, and how many ids they may have.
+KEPT_WORDS, KEPT_IDS = 500_000, 1 << 22
+# Words that are encoded as one text.
+JOINED = 1000
 _BLOCK = 512
+# Letters that are lower-cased one by one and that no other letter joins.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def tokenizer_path() -> str:
@@ -55,11 +62,13 @@ def tokenizer_path() -> str:
 
 
 class WordEncoder:
-    """Token ids of whole texts, each distinct word encoded once.
+    """Token ids of whole texts, each distinct word encoded once while it is remembered.
 
-    The tokenizer drops white space and no token crosses it, so a text's ids are those of its
-    words one after another. A mark of punctuation behind an ASCII letter and before white space
-    is a word of its own, as it is for the tokenizer.
+    For tokenizers that drop white space, lower-case, and take runs of letters as words of their
+    own: no token crosses white space, so a text's ids are those of its words one after another,
+    a mark of punctuation behind an ASCII letter and before white space is a word of its own, and
+    a word of plain letters needs the vocabulary's merges only. Words are remembered in two
+    generations: a full one becomes the older, and words that are met again move on from it.
     """
 
     def __init__(self, path: str):
@@ -67,31 +76,67 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        at_blanks = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}
+        rules |= {"normalizer": None, "pre_tokenizer": at_blanks, "added_tokens": [], "post_processor": None}
+        self.merges = Tokenizer.from_str(json.dumps(rules))
+        vocabulary, mark = rules["model"]["vocab"], rules["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        self.older: tuple = ({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        self._open()
+
+    def _open(self) -> None:
         self.known: dict[str, int] = {}
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of plain letters, many to a text, told apart by the mark of a word's end."""
+        texts = [" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        found = self.merges.encode_batch_fast([t.lower() for t in texts], add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in found)])
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return np.array([i for f in found for i in f], np.uint32), np.array([len(f) for f in found], np.int64)
+        """Ids of some words and how many each has."""
+        plain = np.array([_PLAIN.fullmatch(w) is not None for w in words], bool)
+        ids, sizes = self._merged([w for w, p in zip(words, plain.tolist()) if p])
+        found = self.whole.encode_batch_fast([w for w, p in zip(words, plain.tolist()) if not p], add_special_tokens=False)
+        lists = [e.ids for e in found]
+        counts = np.zeros(len(words), np.int64)
+        counts[plain], counts[~plain] = sizes, [len(x) for x in lists]
+        # Both kinds lie one after the other; a word's start follows from those of its kind.
+        order = np.argsort(~plain, kind="stable")
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        both = np.concatenate([ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
+        return both[ranges(starts, counts)], counts
+
+    def _remember(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        starts = np.cumsum(sizes) - sizes + len(self.pool)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.pool = np.concatenate([self.pool, ids])
+        self.sizes, self.starts = np.concatenate([self.sizes, sizes]), np.concatenate([self.starts, starts])
 
     def _places(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KEPT_WORDS or len(self.pool) > KEPT_IDS:
-            self._clear()
-            new = words
-        if new:
-            ids, sizes = self._encoded(new)
-            starts = np.cumsum(sizes) - sizes + len(self.pool)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.pool = np.concatenate([self.pool, ids])
-            self.sizes, self.starts = np.concatenate([self.sizes, sizes]), np.concatenate([self.starts, starts])
-        return np.array([self.known[w] for w in words], np.int64)
+        known = self.known
+        missing = [w for w in words if w not in known]
+        if len(known) + len(missing) > KEPT_WORDS or len(self.pool) > KEPT_IDS:
+            self.older = (known, self.starts, self.sizes, self.pool)
+            self._open()
+            known, missing = self.known, words
+        old, starts, sizes, pool = self.older
+        if met := [w for w in missing if w in old]:
+            at = np.array([old[w] for w in met], np.int64)
+            self._remember(met, pool[ranges(starts[at], sizes[at])], sizes[at])
+        if new := [w for w in missing if w not in known]:
+            self._remember(new, *self._encoded(new))
+        return np.array([known[w] for w in words], np.int64)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the number of each."""
@@ -108,6 +153,16 @@ class WordEncoder:
         return ids, np.diff(ends)
 
 
+# An encoder outlives the task: Spark uses a Python worker for many tasks.
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def _pieces(text: str) -> list[str]:
     """A text cut at spaces into pieces of about ``SLICE_BYTES`` letters."""
     out, start = [], 0
@@ -242,7 +297,7 @@ def _written(folder: str, tokenizer: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         system, inner = fs.FileSystem.from_uri(folder)
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         docs: list[int | None] = []
         sizes: list[np.ndarray] = []
         ids: list[np.ndarray] = []
