@@ -258,6 +258,12 @@ def _repeats(reps: DataFrame, signed: DataFrame) -> bool:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are near copies of one with a smaller id."""
+    """``docs`` without the documents that are near copies of one with a smaller id, and with one row
+    of each id that is kept. Of rows that repeat an id the one whose text has the least hash stays; rows
+    without an id all stay."""
     gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = stage(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    row = F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row")
+    one = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(row).select("row.*")
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one)

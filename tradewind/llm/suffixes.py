@@ -39,6 +39,8 @@ HOT = 4096
 # Text bytes a range of suffixes should hold, and documents sampled for the range limits.
 RANGE_BYTES = 8 << 20
 SAMPLE = 2000
+# Window starts whose anchors are looked for at a time: some 65 bytes of arrays for each.
+BLOCK_BYTES = 1 << 21
 
 
 def _gram(length: int) -> int:
@@ -46,7 +48,23 @@ def _gram(length: int) -> int:
 
 
 def _anchors(data: np.ndarray, at: np.ndarray, length: int):
-    """(hash, text index, anchor, first and last window start) of every anchor; places in ``data``."""
+    """(hash, text index, anchor, first and last window start) of every anchor; places in ``data``.
+
+    A text of more than ``BLOCK_BYTES`` is taken in blocks of window starts; an anchor whose windows
+    lie in two blocks is given twice, each time with the windows of the block.
+    """
+    if len(data) <= BLOCK_BYTES + length:
+        return _block_anchors(data, at, length)
+    found = []
+    for text, (s, e) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+        for lo in range(s, max(e - length, s) + 1, BLOCK_BYTES):
+            hi = min(lo + BLOCK_BYTES + length - 1, e)
+            hashes, owner, *places = _block_anchors(data[lo:hi], np.array([0, hi - lo]), length)
+            found.append((hashes, owner + text, *(p + lo for p in places)))
+    return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def _block_anchors(data: np.ndarray, at: np.ndarray, length: int):
     gram = _gram(length)
     reach = length - gram + 1
     sizes = np.diff(at)
@@ -145,7 +163,7 @@ def _runs(length: int, limits: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in common.slices(batch, "text", limit=4 * common.SLICE_BYTES):
+            for part in common.slices(batch, "text"):
                 found = sorted(_entries(part, length))
                 if not found:
                     continue
