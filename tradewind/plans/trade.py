@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tradewind.functions import dates, keys
 from tradewind.operators.bucketing import biggest_or_other
 from tradewind.operators.staging import materialise
-from tradewind.schemas import TRADE
+from tradewind.schemas import TRADE, layout
 from tradewind.sources import tables
+from tradewind.sources.snapshots import NO_VALUE, Snapshot, SnapshotTable
 
 TRADE_KEYS = ["trade_key", "partner", "flow", "product_group"]
 TRADE_VALUES = [
@@ -60,6 +61,143 @@ def trade_rows(trade: DataFrame) -> DataFrame:
     )
 
 
+MONTH_SUMS = (
+    "part_month string, trade_key string, partner string, flow string, product_group string, "
+    "marketing_year int, month_order int, product_weight_in_tonnes double, "
+    "carcase_weight_in_tonnes double, value_in_thousand_euro double"
+)
+AMOUNTS = ["product_weight_in_tonnes", "carcase_weight_in_tonnes", "value_in_thousand_euro"]
+
+
+def trade_sums(spark: SparkSession, root: str) -> SnapshotTable:
+    """The maintained sums behind the trade fact, one part per month."""
+    return SnapshotTable(spark, root, MONTH_SUMS, "part_month")
+
+
+def _month_sums(trade: DataFrame) -> DataFrame:
+    month = dates.month_text("marketing_year", "month_order")
+    return (
+        trade.groupBy("member_state", "partner", "flow", "marketing_year", "month_order", "product_group")
+        .agg(*[F.sum(c).cast("double").alias(c) for c in AMOUNTS])
+        .withColumn("part_month", month)
+        .withColumn("trade_key", keys.state_month_key("member_state", month))
+        .groupBy("part_month", *TRADE_KEYS, "marketing_year", "month_order")
+        .agg(*[F.sum(c).alias(c) for c in AMOUNTS])
+    )
+
+
+def touched_months(
+    trade: DataFrame, since: str | None
+) -> tuple[set[tuple[int | None, int | None]], str | None]:
+    """Marketing years and months of the lines created on or after ``since``, and the newest day.
+
+    One pair per month, so few however many lines there are. The stamp is a filter of the scan;
+    lines without one always count.
+    """
+    if since is not None:
+        trade = trade.where((F.col("created") >= F.lit(since).cast("date")) | F.col("created").isNull())
+    found = trade.groupBy("marketing_year", "month_order").agg(F.max("created").alias("day")).collect()
+    days = [r.day.isoformat() for r in found if r.day is not None]
+    return {(r.marketing_year, r.month_order) for r in found}, max(days, default=since)
+
+
+def _of_months(trade: DataFrame, months: set[tuple[int | None, int | None]]) -> DataFrame:
+    """The lines of some months. Years and months are literals: partitions by year are pruned."""
+    by_year: dict[int | None, list[int | None]] = {}
+    for year, month in months:
+        by_year.setdefault(year, []).append(month)
+
+    def any_of(c: str, values: list[int | None]) -> Column:
+        known = [v for v in values if v is not None]
+        found = F.col(c).isin(known) if known else F.lit(False)
+        return found | F.col(c).isNull() if None in values else found
+
+    wanted = any_of("marketing_year", list(by_year))
+    each = [any_of("marketing_year", [y]) & any_of("month_order", m) for y, m in by_year.items()]
+    return trade.where(wanted & reduce(Column.__or__, each))
+
+
+def refresh_trade(trade: DataFrame, sums: SnapshotTable, rebuild: bool = False) -> Snapshot:
+    """Bring the maintained sums up to date with the cleaned trade lines.
+
+    Only months that got lines since the last run are read and summed again, then put live by
+    one switch together with the newest ``created`` day they reach to. Lines of that day may still
+    come after it, so the day itself counts again; a repeated run gives the same sums. Stamps
+    must not go back: after lines with older ones, or lines taken out, ask for a ``rebuild`` of all months.
+    """
+    base = sums.live()
+    months, day = touched_months(trade, None if rebuild else base.mark)
+    labels = {_label(*m) for m in months}
+    if rebuild:
+        labels |= set(base.folders)
+    if not labels and base.number:
+        return base
+    if NO_VALUE in labels:
+        # Months that no calendar has share one part, which is renewed as a whole.
+        strange, _ = touched_months(trade.where(dates.month_text("marketing_year", "month_order").isNull()), None)
+        months = months | strange
+    lines = _of_months(trade, months) if months else trade.limit(0)
+    return sums.renew(_month_sums(lines), labels, base, day)
+
+
+def _label(year: int | None, month: int | None) -> str:
+    if year is None or month is None or not (1 <= month <= 12 and 0 < year <= 9999):
+        return NO_VALUE
+    return f"{year:04d}-{month:02d}"
+
+
+def trade_fact(sums: SnapshotTable, snapshot: Snapshot | None = None) -> DataFrame:
+    """The trade fact of a snapshot: as ``trade_rows`` over all lines, without reading any.
+
+    Partners' last months come from the parts of the latest year alone.
+    """
+    held = snapshot or sums.live()
+    years = {p[:4] for p in held.folders if p != NO_VALUE}
+    recent = {p for p in held.folders if p == NO_VALUE or p[:4] == max(years)}
+    late = sums.read(held, recent)
+    latest_year = late.agg(F.max("marketing_year").alias("y")).scalar()
+    last_months = (
+        late.where(F.col("marketing_year") == latest_year)
+        .groupBy("partner")
+        .agg(F.max("month_order").alias("last_month"))
+    )
+    columns = [*TRADE_KEYS, *AMOUNTS]
+    whole = sums.read(held, set(held.folders) - {NO_VALUE}).select(*columns)
+    # Months that no calendar has share a key; they become one row.
+    rest = sums.read(held, {NO_VALUE}).groupBy(*TRADE_KEYS).agg(*[F.sum(c).alias(c) for c in AMOUNTS])
+    return whole.unionByName(rest.select(*columns)).join(last_months, "partner").select(
+        "partner", "flow", "product_group", *AMOUNTS, "trade_key", "last_month"
+    )
+
+
+def publish_trade(sums: SnapshotTable, snapshot: Snapshot, view: str) -> None:
+    """Make ``view`` show the trade fact of a snapshot: its text names the folders, so replacing it is
+    one step of the catalog, and readers of the old text keep the old folders."""
+    spark = sums.spark
+    def rows(parts: list[str]) -> str:
+        if not parts:
+            empty = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in layout(MONTH_SUMS))
+            return f"(SELECT {empty} WHERE false)"
+        return f"parquet.`{sums.root}/{{{','.join(snapshot.folders[p] for p in sorted(parts))}}}`"
+
+    known = [p for p in snapshot.folders if p != NO_VALUE]
+    strange = [p for p in snapshot.folders if p == NO_VALUE]
+    recent = strange + [p for p in known if p[:4] == max(known)[:4]]
+    amounts = ", ".join(AMOUNTS)
+    summed = ", ".join(f"sum({c}) AS {c}" for c in AMOUNTS)
+    by = ", ".join(TRADE_KEYS)
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {view} AS
+        WITH late AS (SELECT * FROM {rows(recent)}),
+        last_months AS (SELECT partner, max(month_order) AS last_month FROM late
+          WHERE marketing_year = (SELECT max(marketing_year) FROM late) GROUP BY partner),
+        sums AS (SELECT {by}, {amounts} FROM {rows(known)}
+          UNION ALL SELECT {by}, {summed} FROM {rows(strange)} GROUP BY {by})
+        SELECT partner, flow, product_group, {amounts}, trade_key, last_month
+        FROM sums JOIN last_months USING (partner)"""
+    )
+
+
 def price_rows(prices: DataFrame, pig_class: str = LEADING_CLASS) -> DataFrame:
     return prices.where(F.col("pig_class") == pig_class).select(
         "pig_class",
@@ -141,21 +279,17 @@ def run_trade(
 ) -> None:
     """Refresh the trade model from the cleaned tables.
 
-    Facts with one source row per key, bridge and dates are the same after a repeat. Prices may
+    The trade fact is a view of maintained monthly sums; the months with new lines are summed
+    again. Facts with one source row per key, bridge and dates are the same after a repeat. Prices may
     hold several rows of one key: they are all inserted once, and a repeat sets them to the first.
     """
 
     def name(table: str) -> str:
         return f"{database}.{table}"
 
-    tables.upsert_table(
-        trade_rows(spark.table(f"{silver}.trade_silver")),
-        name("fact_trade"),
-        TRADE["fact_trade"],
-        TRADE_KEYS,
-        TRADE_VALUES,
-        unique_source=True,
-    )
+    folder = spark.catalog.getDatabase(database).locationUri
+    sums = trade_sums(spark, f"{folder}/trade_sums")
+    publish_trade(sums, refresh_trade(spark.table(f"{silver}.trade_silver"), sums), name("fact_trade"))
     tables.upsert_table(
         price_rows(spark.table(f"{silver}.prices_silver")),
         name("fact_prices"),

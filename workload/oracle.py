@@ -669,6 +669,8 @@ def oracle_sql() -> dict[str, str]:
             "trade",
         ),
         "export_import_last_month": with_parts("SELECT * FROM trade_rows", "trade_rows"),
+        "trade_facts_incremental": with_parts("SELECT * FROM trade_rows", "trade_rows"),
+        "upsert_trade_repeat": with_parts("SELECT * FROM trade_rows", "trade_rows"),
         "fact_prices": with_parts("SELECT * FROM price_rows", "price_rows"),
         "topn_else_other": with_parts("SELECT * FROM state_groups", "state_groups"),
         "production_groups": with_parts(
