@@ -47,6 +47,56 @@ def names_to_codes(df: DataFrame, aliases: DataFrame, names: dict[str, str]) ->
     return df
 
 
+def _deletions(c: Column, edits: int) -> Column:
+    """A text and all texts that up to ``edits`` deleted letters leave of it."""
+    found = F.array(c)
+    for _ in range(edits):
+        shorter = F.transform(
+            found,
+            lambda t: F.transform(
+                F.sequence(F.lit(0), F.greatest(F.length(t) - 1, F.lit(0))),
+                lambda i: F.concat(F.left(t, i), F.substring(t, i + 2, F.length(t))),
+            ),
+        )
+        found = F.array_distinct(F.concat(found, F.flatten(shorter)))
+    return found
+
+
+def near_names(
+    names: DataFrame, aliases: DataFrame, name: str, into: str = "iso3", edits: int = 1
+) -> DataFrame:
+    """(name, code, distance) for the distinct names, by the aliases ``(alias, iso3)`` nearest to them.
+
+    Names within ``edits`` inserted, deleted or replaced letters share a text that so many deletions
+    leave of both; these texts are the join keys, and the candidates are then measured. So there is no
+    product of names and aliases: a name has about as many keys as letters, squared for two edits. Case and
+    outer blanks do not count. A name whose nearest aliases stand for several codes gets NULL and the
+    distance; a name without an alias so near gets NULL for both.
+    """
+    if edits not in (1, 2):
+        raise ValueError("edits must be 1 or 2")
+    asked = names.select(F.col(name).alias("__asked")).where(F.col("__asked").isNotNull()).distinct()
+    left = asked.select("__asked", normal_name("__asked").alias("__name"))
+    known = aliases.select(normal_name("alias").alias("__alias"), F.col("iso3").alias("__iso3")).dropna().distinct()
+    keyed = known.select("*", F.explode(_deletions(F.col("__alias"), edits)).alias("__key"))
+    candidates = (
+        left.select("__name", F.explode(_deletions(F.col("__name"), edits)).alias("__key")).distinct()
+        .join(keyed, "__key")
+        .select("__name", "__alias", "__iso3")
+        .distinct()
+        .withColumn("__distance", F.levenshtein("__name", "__alias", edits))
+        .where(F.col("__distance") >= 0)
+    )
+    # Per distance the one code, or none; the least distance decides.
+    per_distance = candidates.groupBy("__name", "__distance").agg(
+        F.when(F.min("__iso3") == F.max("__iso3"), F.min("__iso3")).alias("__iso3")
+    )
+    nearest = per_distance.groupBy("__name").agg(
+        F.min("__distance").alias("distance"), F.min_by("__iso3", "__distance").alias(into)
+    )
+    return left.join(nearest, "__name", "left").select(F.col("__asked").alias(name), into, "distance")
+
+
 def unmatched_names(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Count rows per name that received no code."""
     missing = [

@@ -24,12 +24,11 @@ def _held_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFr
 def within_range_of(target: DataFrame, updates: DataFrame, column: str) -> DataFrame:
     """Target rows inside the value range of ``updates[column]``.
 
-    The limits are scalar subqueries, so they reach the scan of the target as
+    The limits are one scalar subquery, so they reach the scan of the target as
     filters: a day's merge does not read the whole history.
     """
-    low = updates.agg(F.min(column).alias("low")).scalar()
-    high = updates.agg(F.max(column).alias("high")).scalar()
-    return target.where((F.col(column) >= low) & (F.col(column) <= high))
+    ends = updates.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("ends")).scalar()
+    return target.where((F.col(column) >= ends["low"]) & (F.col(column) <= ends["high"]))
 
 
 def rows_to_insert(

@@ -48,6 +48,20 @@ def surrogate_ids(df: DataFrame, order: list[str], into: str) -> DataFrame:
     return running_total(df, order, F.lit(1).cast("long"), into)
 
 
+def stable_ids(keys: DataFrame, known: DataFrame, on: list[str], into: str) -> DataFrame:
+    """Ids for keys that ``known`` (the key columns and ``into``) does not hold yet.
+
+    They follow the largest known id in the order of the keys, so ids that were given stay
+    whatever is added or missing later. Keys that hold a NULL get none. One row per new key; append
+    them to the map that ``known`` was read from.
+    """
+    fresh = keys.select(*on).dropna().distinct().join(known.select(*on), on, "left_anti")
+    largest = known.agg(F.coalesce(F.max(into), F.lit(0))).scalar()
+    numbered = surrogate_ids(fresh, on, "__rank")
+    kind = known.schema[into].dataType
+    return numbered.select(*on, (F.col("__rank") + largest).cast(kind).alias(into))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
     """One row of order statistics: the smallest value covering each share.
 
@@ -91,6 +105,24 @@ def top_with_ties(df: DataFrame, value: str, n: int) -> DataFrame:
     return df.where(F.col(value) >= nth_largest(df, value, n).scalar())
 
 
+def top_with_ties_by(df: DataFrame, by: list[str], value: str, n: int) -> DataFrame:
+    """Per group of ``by`` the rows whose value is among the group's n largest, ties at the edge
+    included. Unknown values are left out.
+
+    The n-th value of a group is found among each task's n largest of it, so a group's rows, or its
+    ties, never meet in one task; the rows are then compared with that value. ``df`` is read twice:
+    pass a table. Groups of a NULL key are groups like others.
+    """
+    known = df.where(F.col(value).isNotNull())
+    best = Window.partitionBy(*by).orderBy(F.desc(value))
+    kept = known.select(*by, value).withColumn("__row", F.row_number().over(best)).where(F.col("__row") <= n)
+    cuts = kept.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(F.min(value).alias("__cut"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return known.join(cuts, same & (F.col(value) >= F.col("__cut"))).select(*df.columns)
+
+
 def latest_years(df: DataFrame, n: int, year: str = "year") -> DataFrame:
     """Rows of the n most recent distinct years."""
     return df.where(F.col(year) >= nth_largest(df.select(year).distinct(), year, n).scalar())

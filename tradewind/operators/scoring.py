@@ -218,10 +218,11 @@ def weight_rollup(breakdown: DataFrame, weights: DataFrame, by: list[str]) -> Da
     tree = breakdown.groupBy(
         *[F.col(c) for c in by], F.col("level1"), F.col("level2"), F.col("parameter")
     ).agg(F.sum("weighted_value").alias("wv"))
-    levels = tree.rollup(*by, "level1", "level2", "parameter").agg(
+    path = ["level1", "level2", "parameter"]
+    levels = tree.groupingSets([[*by, *path[:n]] for n in range(4)], *by, *path).agg(
         F.sum("wv").alias("weighted_value"), F.grouping_id().alias("__level")
     )
-    kept = levels.where(F.col("__level") <= 7).join(weights.select(*by, *WEIGHT_COLUMNS), by)
+    kept = levels.join(weights.select(*by, *WEIGHT_COLUMNS), by)
     leaves = leaf_weights()
     by_parameter = F.when(F.lit(False), F.lit(0.0))
     for name, (_, _, parameter) in HIERARCHY.items():

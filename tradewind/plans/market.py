@@ -21,15 +21,21 @@ LATE_REPORTERS = (
 
 
 def country_dimension(
-    countries: DataFrame, is_eu: Column, late: tuple[str, ...] = LATE_REPORTERS
+    countries: DataFrame,
+    is_eu: Column,
+    late: tuple[str, ...] = LATE_REPORTERS,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
-    """All countries ``(iso3, name)`` with flags and ids in code order."""
+    """All countries ``(iso3, name)`` with flags and ids: those of a map ``(iso3, country_id)``, or
+    new ones in code order."""
     flagged = countries.select(
         "iso3",
         "name",
         F.when(is_eu, 1).otherwise(0).alias("is_eu"),
         F.when(F.col("iso3").isin(*late), 1).otherwise(0).alias("faostat_fallback"),
     )
+    if ids is not None:
+        return flagged.join(ids, "iso3").select("iso3", "name", "is_eu", "faostat_fallback", "country_id")
     numbered = surrogate_ids(flagged, ["iso3", "name"], "country_id")
     return numbered.withColumn("country_id", F.col("country_id").cast("int"))
 
@@ -172,7 +178,8 @@ def run_market(
         tables.overwrite_table(df, f"{database}.{name}", MARKET[name])
         return spark.table(f"{database}.{name}")
 
-    countries = materialise(country_dimension(country_list, is_eu))
+    ids = tables.refresh_ids(country_list, f"{database}.country_ids", MARKET["country_ids"], ["iso3"], "country_id")
+    countries = materialise(country_dimension(country_list, is_eu, ids=ids))
     save(reference.calendar(spark), "dim_calendar")
     save(partners(countries), "dim_partner")
     save(union_countries(countries), "dim_ue_country")

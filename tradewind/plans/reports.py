@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import scoring
 from tradewind.operators.lookup import latest_values
-from tradewind.operators.ordering import latest_years, top_with_ties
+from tradewind.operators.ordering import latest_years, top_with_ties, top_with_ties_by
 from tradewind.operators.scoring import Weights
 
 
@@ -58,6 +58,12 @@ def best_markets(scored: DataFrame, n: int = 12) -> DataFrame:
     return top_with_ties(scored.select("country_id", "name", "market_score"), "market_score", n)
 
 
+def best_of_scenarios(scored: DataFrame, n: int = 12) -> DataFrame:
+    """The n best partners of every scenario, ties at the edge included. ``scored`` is read twice."""
+    columns = ["scenario", "country_id", "name", "market_score"]
+    return top_with_ties_by(scored.select(*columns), ["scenario"], "market_score", n)
+
+
 def partner_detail(breakdown: DataFrame, name: str) -> DataFrame:
     """Indicator rows of one partner in display order."""
     return breakdown.where(F.col("name") == name).orderBy("indicator_order")

@@ -52,6 +52,7 @@ SILVER = {
 
 # Star schema of the market model.
 MARKET = {
+    "country_ids": "iso3 string, country_id int",
     "dim_calendar": "year bigint",
     "dim_partner": "country_id int, iso3 string, name string, faostat_fallback int",
     "dim_ue_country": "country_id int, iso3 string, name string",

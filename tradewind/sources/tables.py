@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.merge import rows_to_insert, upsert
+from tradewind.operators.ordering import stable_ids
 from tradewind.operators.staging import materialise
 from tradewind.schemas import conform, layout
 
@@ -14,8 +17,22 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows of equal keys share one of ``n`` files per write, by the hash a join shuffles by. ``n`` should
+    not be below ``spark.sql.shuffle.partitions``, or the planner shuffles the table after all."""
+
+    n: int
+    keys: tuple[str, ...]
+
+
 def create_if_missing(
-    spark: SparkSession, name: str, ddl: str, partition_by: list[str] | None = None
+    spark: SparkSession,
+    name: str,
+    ddl: str,
+    partition_by: list[str] | None = None,
+    buckets: Buckets | None = None,
+    location: str | None = None,
 ) -> bool:
     """Create an empty table with the layout; True when it was made."""
     if table_exists(spark, name):
@@ -24,6 +41,10 @@ def create_if_missing(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout(ddl).fields)
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    if buckets:
+        parts += f" CLUSTERED BY ({', '.join(buckets.keys)}) INTO {buckets.n} BUCKETS"
+    if location:
+        parts += f" LOCATION '{location}'"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}")
     return True
 
@@ -39,11 +60,16 @@ def overwrite_table(df: DataFrame, name: str, ddl: str) -> None:
     conform(df, ddl).write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
-def _append(df: DataFrame, name: str, partition_by: list[str] | None) -> None:
+def _append(
+    df: DataFrame, name: str, partition_by: list[str] | None, buckets: Buckets | None = None
+) -> None:
     """Append in the table's column order. Rows of a partitioned table are rebalanced:
-    few files per partition, and a partition holding most rows is split."""
+    few files per partition, and a partition holding most rows is split. Rows of a bucketed
+    table come by bucket, so that a task writes one file."""
     df = df.select(*df.sparkSession.table(name).columns)
-    if partition_by:
+    if buckets:
+        df = df.repartition(buckets.n, *buckets.keys)
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.mode("append").insertInto(name)
 
@@ -55,6 +81,18 @@ def append_table(
     _append(conform(df, ddl), name, partition_by)
 
 
+def refresh_ids(keys: DataFrame, name: str, ddl: str, on: list[str], into: str) -> DataFrame:
+    """The map of keys to ids in table ``name``, after ids for new keys were added to it.
+
+    Ids that were given never change and are never given again.
+    """
+    spark = keys.sparkSession
+    create_if_missing(spark, name, ddl)
+    fresh = materialise(stable_ids(keys, spark.table(name), on, into))
+    append_table(fresh, name, ddl)
+    return spark.table(name)
+
+
 def merge_new_rows(
     updates: DataFrame,
     name: str,
@@ -62,16 +100,21 @@ def merge_new_rows(
     keys: list[str],
     range_key: str | None = None,
     partition_by: list[str] | None = None,
+    buckets: Buckets | None = None,
+    location: str | None = None,
 ) -> None:
     """Append the rows whose key the table does not hold; matched rows stay as they are.
 
-    The files of the table are listed before the append starts, so a retried task
+    The updates are written once, since the merge reads them several times and they may be a parsed
+    extract. A new table is bucketed as ``buckets`` says: by the keys, a merge shuffles the updates
+    only. The files of the table are listed before the append starts, so a retried task
     never compares with rows of its own run.
     """
     spark = updates.sparkSession
-    create_if_missing(spark, name, ddl, partition_by)
-    new = rows_to_insert(spark.table(name), conform(updates, ddl), keys, range_key)
-    _append(new, name, partition_by)
+    create_if_missing(spark, name, ddl, partition_by, buckets, location)
+    staged = materialise(conform(updates, ddl))
+    new = rows_to_insert(spark.table(name), staged, keys, range_key)
+    _append(new, name, partition_by, buckets)
 
 
 def upsert_table(

@@ -42,6 +42,8 @@ def merge_stream(
     ddl: str,
     keys: list[str],
     checkpoint: str,
+    range_key: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Clean each batch and add its new rows to a table.
 
@@ -51,7 +53,7 @@ def merge_stream(
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        merge_new_rows(clean(batch), table, ddl, keys)
+        merge_new_rows(clean(batch), table, ddl, keys, range_key, partition_by)
 
     return (
         stream.writeStream.foreachBatch(apply)

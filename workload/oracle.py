@@ -410,6 +410,37 @@ def _minmax(table: str, key: str, value: str, cut: str) -> str:
     FROM (SELECT {key}, {value}, {cut} AS cut FROM {table})"""
 
 
+def _stable(table: str, keys: list[str], first: str, second: str) -> str:
+    """Ids of two loads one after the other: the second's new keys follow the first's."""
+    on = ", ".join(keys)
+    return f"""
+      WITH a AS (SELECT {on}, row_number() OVER (ORDER BY {on}) AS id
+        FROM (SELECT DISTINCT {on} FROM {table} WHERE {first})),
+      b AS (SELECT {on} FROM {table} WHERE {second} EXCEPT SELECT {on} FROM a)
+      SELECT * FROM a UNION ALL
+      SELECT {on}, row_number() OVER (ORDER BY {on}) + (SELECT max(id) FROM a) AS id FROM b"""
+
+
+def _near_names(edits: int) -> str:
+    """All pairs of misspelled names and aliases, the nearest kept where it is one code."""
+    return f"""
+      WITH c AS (SELECT c_custkey AS k, n_name AS n, CAST(c_custkey % 5 + 2 AS INTEGER) AS pos
+        FROM customer JOIN nation ON c_nationkey = n_nationkey),
+      names AS (SELECT DISTINCT CASE WHEN k % 7 = 0 THEN n
+          WHEN k % 7 < 3 THEN left(n, pos) || substring(n, pos + 2)
+          WHEN k % 7 = 3 THEN left(n, pos) || 'X' || substring(n, pos + 2)
+          WHEN k % 7 < 6 THEN lower(left(n, pos) || CAST(k % 10 AS VARCHAR) || substring(n, pos + 1))
+          ELSE 'q' || left(n, pos) || 'z' || substring(n, pos + 1) END AS country FROM c),
+      aliases AS (SELECT lower(n_name) AS alias,
+          'C' || CAST(n_nationkey - CASE WHEN n_nationkey = 12 THEN 11 ELSE 0 END AS VARCHAR) AS iso3 FROM nation
+        UNION SELECT lower(n_name), 'D20' FROM nation WHERE n_nationkey = 20),
+      pairs AS (SELECT country, iso3, levenshtein(lower(trim(country)), alias) AS d FROM names, aliases),
+      best AS (SELECT country, min(d) AS d FROM pairs WHERE d <= {edits} GROUP BY country),
+      found AS (SELECT country, d, CASE WHEN min(iso3) = max(iso3) THEN min(iso3) END AS iso3
+        FROM pairs JOIN best USING (country, d) GROUP BY country, d)
+      SELECT country, iso3, CAST(d AS INTEGER) AS distance FROM names LEFT JOIN found USING (country)"""
+
+
 def oracle_sql() -> dict[str, str]:
     trade_values = [
         "product_weight_in_tonnes",
@@ -573,6 +604,27 @@ def oracle_sql() -> dict[str, str]:
             "WHERE scenario = 'default' AND name = 'NATION_2'",
             "scored",
         ),
+        "top12_by_scenario": with_parts(
+            f"SELECT scenario, country_id, name, {r('market_score', 'market_score')} FROM (SELECT *, "
+            "rank() OVER (PARTITION BY scenario ORDER BY market_score DESC) AS place FROM scored "
+            "WHERE market_score IS NOT NULL) WHERE place <= 12",
+            "scored",
+        ),
+        "top_lines_by_supplier": "SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_extendedprice "
+        "FROM (SELECT *, rank() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_extendedprice DESC) "
+        "AS place FROM lineitem) WHERE place <= 3",
+        "stable_country_ids": _stable("nation", ["n_name"], "n_nationkey % 3 <> 0", "n_nationkey % 4 <> 1"),
+        "stable_part_ids": _stable("part", ["p_brand", "p_name"], "p_size <= 25", "p_size > 10"),
+        "near_names": _near_names(1),
+        "near_names_two_edits": _near_names(2),
+        "merge_bucketed": f"""
+          WITH l AS (SELECT l_orderkey, CASE WHEN l_partkey % 50 <> 0 THEN l_linenumber END AS l_linenumber,
+              l_extendedprice FROM lineitem),
+          a AS (SELECT * FROM l WHERE l_orderkey % 3 <> 0),
+          b AS (SELECT * REPLACE (l_extendedprice + 1 AS l_extendedprice) FROM l WHERE l_orderkey % 4 <> 1),
+          m AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a
+              WHERE a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber))
+          SELECT l_orderkey, l_linenumber, {r('l_extendedprice', 'l_extendedprice')} FROM m""",
         "weight_rollup": with_parts(
             f"SELECT country_id, scenario, depth, level1, level2, parameter, "
             f"{r(weight_case, 'weight')}, {r('wv', 'weighted_value')} FROM ({levels})",

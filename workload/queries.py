@@ -17,7 +17,7 @@ from tradewind.operators.staging import materialise, staging_root
 from tradewind.plans import cleaning, reports, trade
 from tradewind.plans import market as M
 from tradewind.schemas import SILVER, conform
-from tradewind.sources import landing, reference
+from tradewind.sources import landing, reference, tables
 from workload.inputs import AS_OF, EARLIEST_YEAR, LATE, MONEY, UNION_REGION, Inputs
 
 Query = Callable[[Inputs], DataFrame]
@@ -83,6 +83,26 @@ def surrogate_key(x: Inputs) -> DataFrame:
     return numbered.select("part_id", "p_partkey")
 
 
+def _second_load(first: DataFrame, second: DataFrame, on: list[str]) -> DataFrame:
+    """The key map after two loads, each with keys that the other does not have."""
+    none = first.select(*on, F.lit(None).cast("bigint").alias("id")).limit(0)
+    known = materialise(ordering.stable_ids(first, none, on, "id"))
+    return known.unionByName(ordering.stable_ids(second, known, on, "id"))
+
+
+@query
+def stable_country_ids(x: Inputs) -> DataFrame:
+    n = x.table("nation")
+    return _second_load(n.where("n_nationkey % 3 <> 0"), n.where("n_nationkey % 4 <> 1"), ["n_name"])
+
+
+@query
+def stable_part_ids(x: Inputs) -> DataFrame:
+    """Part numbers of two loads by name and brand; the second has new ones and lacks old ones."""
+    p = x.table("part")
+    return _second_load(p.where("p_size <= 25"), p.where("p_size > 10"), ["p_brand", "p_name"])
+
+
 # Yearly facts and the market table.
 
 
@@ -225,6 +245,21 @@ def score_scenarios(x: Inputs) -> DataFrame:
     return tidy(scored.select("scenario", *SCORE_COLUMNS))
 
 
+@query
+def top12_by_scenario(x: Inputs) -> DataFrame:
+    scored = materialise(reports.scores(_indicators(x), SCENARIOS))
+    return tidy(reports.best_of_scenarios(scored, 12))
+
+
+@query
+def top_lines_by_supplier(x: Inputs) -> DataFrame:
+    """The three dearest line items of every supplier and return flag, ties kept."""
+    lines = x.table("lineitem").select(
+        "l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice"
+    )
+    return ordering.top_with_ties_by(lines, ["l_suppkey", "l_returnflag"], "l_extendedprice", 3)
+
+
 @query
 def score_slider(x: Inputs) -> DataFrame:
     """Every partner at each of the 101 positions of the demand slider."""
@@ -481,6 +516,26 @@ def insert_only_merge(x: Inputs) -> DataFrame:
     return tidy(merge.insert_only_merge(target, updates, ["o_orderkey", "o_custkey"]))
 
 
+@query
+def merge_bucketed(x: Inputs) -> DataFrame:
+    """Two loads of line items merged into a table that is bucketed by their key. The second has
+    lines of the first with other prices, new ones, and some without a number, which are always added."""
+    name = f"default.lines_{materialise_tag()}"
+    ddl = "l_orderkey bigint, l_linenumber int, l_extendedprice double"
+    keys_of = ["l_orderkey", "l_linenumber"]
+    n = int(x.spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = tables.Buckets(n, tuple(keys_of))
+    lines = x.table("lineitem")
+    number = F.when(F.col("l_partkey") % 50 != 0, F.col("l_linenumber")).alias("l_linenumber")
+    first = lines.where("l_orderkey % 3 <> 0").select("l_orderkey", number, "l_extendedprice")
+    price = (F.col("l_extendedprice") + 1).alias("l_extendedprice")
+    second = lines.where("l_orderkey % 4 <> 1").select("l_orderkey", number, price)
+    folder = f"{staging_root(x.spark)}/{name.replace('.', '-')}"
+    for load in (first, second):
+        tables.merge_new_rows(load, name, ddl, keys_of, buckets=buckets, location=folder)
+    return tidy(x.spark.table(name))
+
+
 def _old_trade(rows: DataFrame) -> DataFrame:
     """An earlier state of the trade fact: some months, other values, and rows the
     source no longer has."""
@@ -746,6 +801,44 @@ def alias_to_code(x: Inputs) -> DataFrame:
     return coded.select("c_custkey", "iso3")
 
 
+def _misspelled(x: Inputs) -> DataFrame:
+    """Customers' nation names as they are, with one letter too few, wrong or too many, or with two."""
+    key = F.col("c_custkey")
+    at = (key % 5 + 2).cast("int")
+    name = F.col("n_name")
+    head, tail = F.left(name, at), F.substring(name, at + 1, F.length(name))
+    less = F.concat(head, F.substring(name, at + 2, F.length(name)))
+    other = F.concat(head, F.lit("X"), F.substring(name, at + 2, F.length(name)))
+    more = F.concat(head, (key % 10).cast("string"), tail)
+    odd = F.concat(F.lit("q"), head, F.lit("z"), tail)
+    return (
+        x.table("customer")
+        .join(x.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            F.when(key % 7 == 0, name).when(key % 7 < 3, less).when(key % 7 == 3, other)
+            .when(key % 7 < 6, F.lower(more)).otherwise(odd).alias("country")
+        )
+    )
+
+
+def _nation_aliases(x: Inputs) -> DataFrame:
+    """Nation names and codes; two nations share a code, and one name stands for two."""
+    n = x.table("nation")
+    code = F.concat(F.lit("C"), (F.col("n_nationkey") - F.when(F.col("n_nationkey") == 12, 11).otherwise(0)).cast("string"))
+    twice = n.where("n_nationkey = 20").select(F.col("n_name").alias("alias"), F.lit("D20").alias("iso3"))
+    return n.select(F.col("n_name").alias("alias"), code.alias("iso3")).unionByName(twice)
+
+
+@query
+def near_names(x: Inputs) -> DataFrame:
+    return lookup.near_names(_misspelled(x), _nation_aliases(x), "country")
+
+
+@query
+def near_names_two_edits(x: Inputs) -> DataFrame:
+    return lookup.near_names(_misspelled(x), _nation_aliases(x), "country", edits=2)
+
+
 @query
 def unknown_names(x: Inputs) -> DataFrame:
     aliases = x.table("nation").where(F.col("n_regionkey") < 4).select(
