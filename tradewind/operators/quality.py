@@ -43,7 +43,11 @@ class Between:
 
 @dataclass(frozen=True)
 class UniqueTogether:
+    """No two rows have one key. ``wide`` is for keys that are large, such as texts: their hashes
+    are counted, and keys are compared among rows whose hash came twice only."""
+
     columns: tuple[str, ...]
+    wide: bool = False
     rule = "expect_compound_columns_to_be_unique"
     column = "N/A"
 
@@ -85,13 +89,19 @@ LOG_SCHEMA = T.StructType(
 )
 
 
-def repeated_rows(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def repeated_rows(df: DataFrame, columns: tuple[str, ...], wide: bool = False) -> DataFrame:
     """One row, one column: how many rows belong to a repeated key.
 
-    Every row of a repeated key counts. Rows whose key parts are all NULL do not.
+    Every row of a repeated key counts. Rows whose key parts are all NULL do not. With ``wide``
+    the frame is read twice, but shuffled are 8 bytes a row and the keys of suspected rows.
     """
     some_key = F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull()
-    sizes = df.where(some_key).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    rows = df.where(some_key).select(*columns)
+    if wide:
+        hashed = rows.withColumn("__hash", F.xxhash64(*columns))
+        met = hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__hash")
+        rows = hashed.join(met, "__hash", "left_semi")
+    sizes = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     return sizes.agg(
         F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("repeated")
     )
@@ -108,7 +118,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
 
     def outcome(i: int, check: Check) -> Column:
         if isinstance(check, UniqueTogether):
-            unexpected = repeated_rows(df, check.columns).scalar()
+            unexpected = repeated_rows(df, check.columns, check.wide).scalar()
         elif isinstance(check, (ColumnOrder, ColumnType)):
             unexpected = F.lit(0).cast("long") if check.holds(df) else F.col("total")
         else:

@@ -93,13 +93,18 @@ def winsorised_minmax(
     lower: float | None = None,
     upper: float | None = None,
     accuracy: int | None = None,
+    given: DataFrame | None = None,
 ) -> DataFrame:
     """Winsorise, then scale to [0, 1]; the raw value is kept.
 
     The limits are themselves the extremes of the winsorised values, so scaling needs
-    no further pass.
+    no further pass. ``given``, one row (low, high), states them, such as limits from stored
+    sketches; ``df`` is then read once.
     """
-    limits = _limits(df, value, lower, upper, accuracy)
+    if given is None:
+        limits = _limits(df, value, lower, upper, accuracy)
+    else:
+        limits = given.select(F.struct("low", "high").alias("limits")).scalar()
     return df.withColumn(
         into, unit_scale(_clipped(value, limits), limits["low"], limits["high"])
     )

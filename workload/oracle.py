@@ -441,6 +441,35 @@ def _near_names(edits: int) -> str:
       SELECT country, iso3, CAST(d AS INTEGER) AS distance FROM names LEFT JOIN found USING (country)"""
 
 
+def _wide() -> str:
+    """Repeated keys of documents and of line items, one row per check."""
+
+    def one(position: int, table: str, keys: list[str], source: str) -> str:
+        some = " OR ".join(f"{k} IS NOT NULL" for k in keys)
+        again = (
+            f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {source} WHERE {some} "
+            f"GROUP BY {', '.join(keys)} HAVING count(*) > 1))"
+        )
+        return (
+            f"SELECT {position} AS position, '{UNIQUE_RULE}' AS rule, 'N/A' AS \"column\", "
+            f"CAST({again} AS BIGINT) AS unexpected_count, (SELECT count(*) FROM {source}) AS element_count, "
+            f"{again} = 0 AS success, '{table}' AS \"table\""
+        )
+
+    dirty = (
+        "(SELECT CASE WHEN l_partkey % 13 <> 0 THEN l_partkey END AS l_partkey, "
+        "l_quantity - 5 AS l_quantity FROM lineitem)"
+    )
+    return " UNION ALL ".join(
+        [
+            one(0, "documents", ["doc_id", "text"], "documents"),
+            one(1, "documents", ["source", "text"], "documents"),
+            one(2, "documents", ["text"], "documents"),
+            one(0, "lineitem", ["l_partkey", "l_quantity"], dirty),
+        ]
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     trade_values = [
         "product_weight_in_tonnes",
@@ -818,6 +847,15 @@ def oracle_sql() -> dict[str, str]:
                 (UNIQUE_RULE, "N/A", _repeated("l_partkey", "l_quantity")),
             ]
         ),
+        "dq_unique_wide": _wide(),
+        "quantile_sketch_merged": "SELECT l_returnflag, count(*) AS n, CAST(share AS DOUBLE) AS share, true AS within "
+        "FROM lineitem, (VALUES (0.06), (0.25), (0.75), (0.98)) AS s(share) GROUP BY l_returnflag, share",
+        "extremes_from_sketches": "SELECT l_returnflag, "
+        + r("avg((l_extendedprice - low) / (high - low))", "mean")
+        + ", "
+        + r("max((l_extendedprice - low) / (high - low))", "most")
+        + " FROM lineitem, (SELECT min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem) "
+        "GROUP BY l_returnflag",
         "dq_schema": _dq(
             [
                 (ORDER_RULE, "N/A", "0"),

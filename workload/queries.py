@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import dates, keys, numbers
 from tradewind.functions.aggregates import selected_value, summarize
-from tradewind.operators import bucketing, lookup, merge, ordering, quality, scaling, scoring
+from tradewind.operators import (
+    bucketing,
+    lookup,
+    merge,
+    ordering,
+    quality,
+    scaling,
+    scoring,
+    sketches,
+)
 from tradewind.operators.growth import windowed_cagr
 from tradewind.operators.scoring import Weights
 from tradewind.operators.staging import materialise, staging_root
@@ -159,6 +168,50 @@ def quantiles(x: Inputs) -> DataFrame:
     return ordering.exact_quantiles(x.table("lineitem"), "l_extendedprice", shares)
 
 
+def _price_sketches(x: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Line items, and their prices' sketches by return flag, stored in two loads of whole years."""
+    lines = x.table("lineitem").select("l_returnflag", F.year("l_shipdate").alias("year"), "l_extendedprice")
+    store = sketches.SketchStore(
+        x.spark, f"{staging_root(x.spark)}/sketches-{materialise_tag()}", "l_returnflag string"
+    )
+    for load in (lines.where("year < 1998"), lines.where("year >= 1998")):
+        store.add(load, F.col("year"), "l_extendedprice")
+    return lines, store.merged()
+
+
+@query
+def quantile_sketch_merged(x: Inputs) -> DataFrame:
+    """Whether quantiles from stored sketches are within a hundredth of their rank over all rows."""
+    shares = {"q06": 0.06, "q25": 0.25, "q75": 0.75, "q98": 0.98}
+    lines, merged = _price_sketches(x)
+    found = materialise(sketches.quantiles_of(merged, shares))
+    value = F.col("l_extendedprice")
+    counts = [
+        c
+        for q in shares
+        for c in (F.count_if(value < F.col(q)).alias(f"{q}_below"), F.count_if(value <= F.col(q)).alias(f"{q}_upto"))
+    ]
+    ranked = lines.join(found, "l_returnflag").groupBy("l_returnflag", "n").agg(*counts)
+    rows = [
+        F.struct(
+            F.lit(p).alias("share"),
+            ((F.col(f"{q}_below") <= (p + 0.01) * F.col("n")) & (F.col(f"{q}_upto") >= (p - 0.01) * F.col("n")))
+            .alias("within"),
+        )
+        for q, p in shares.items()
+    ]
+    return ranked.select("l_returnflag", "n", F.inline(F.array(*rows)))
+
+
+@query
+def extremes_from_sketches(x: Inputs) -> DataFrame:
+    """Prices scaled between the extremes that the stored sketches hold, summed by flag."""
+    lines, merged = _price_sketches(x)
+    ends = materialise(sketches.limits_of(merged))
+    scaled = scaling.winsorised_minmax(lines, "l_extendedprice", "scaled", given=ends)
+    return tidy(scaled.groupBy("l_returnflag").agg(F.avg("scaled").alias("mean"), F.max("scaled").alias("most")))
+
+
 @query
 def gdp_growth(x: Inputs) -> DataFrame:
     return tidy(x.forecast)
@@ -680,6 +733,21 @@ def dq_unique(x: Inputs) -> DataFrame:
     )
 
 
+@query
+def dq_unique_wide(x: Inputs) -> DataFrame:
+    """Keys that hold whole texts, and a key of all columns of the line items' part."""
+    texts = quality.run_checks(
+        x.table("documents"),
+        [
+            quality.UniqueTogether(("doc_id", "text"), wide=True),
+            quality.UniqueTogether(("source", "text"), wide=True),
+            quality.UniqueTogether(("text",), wide=True),
+        ],
+    )
+    lines = quality.run_checks(_dirty_lines(x), [quality.UniqueTogether(("l_partkey", "l_quantity"), wide=True)])
+    return texts.withColumn("table", F.lit("documents")).unionByName(lines.withColumn("table", F.lit("lineitem")))
+
+
 @query
 def dq_schema(x: Inputs) -> DataFrame:
     """Column order and types of the dirty lines, one expectation of each kind wrong."""
