@@ -25,6 +25,7 @@ from tradewind.operators.quality import (
 from tradewind.operators.staging import materialise
 from tradewind.schemas import SILVER, conform
 from tradewind.sources import landing, tables
+from tradewind.sources.ledger import RunLedger
 
 
 @dataclass(frozen=True)
@@ -229,6 +230,9 @@ def clean_indicator(raw: DataFrame, into: str) -> DataFrame:
 
 # Files checked before cleaning, with their expected columns.
 CHECKED = ("production", "import", "consumption")
+_LOG = "timestamp timestamp, severity string, message string, ingestion_date date"
+# The batch number of the log rows of a run that was stopped.
+STOPPED = -1
 
 
 def expected_columns(dataset: str) -> list[str]:
@@ -243,18 +247,35 @@ def checks_for(dataset: str) -> list[Check]:
 
 
 def validate_landed(
-    spark: SparkSession, root: str, day: dt.date, log_table: str = "validation_logs"
+    spark: SparkSession,
+    root: str,
+    day: dt.date,
+    log_table: str = "validation_logs",
+    ledger: RunLedger | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """Check the yearly extracts of a day and log one message per file.
 
     Row rules are logged and the run goes on; wrong columns or an unreadable file
-    are logged and stop it. Returns the logged messages of the row rules.
+    are logged and stop it. Returns the logged messages of the row rules. With a ``ledger``, a ``run``
+    (the day, if not given) logs its messages once, however often it is repeated; of the attempts that
+    were stopped, the log holds the last, as batch ``STOPPED``.
     """
+    run = run or str(day)
     messages: DataFrame | None = None
 
-    def log_gathered() -> None:
-        if messages is not None:
-            _log(log_rows(messages, day), log_table)
+    def log(rows: DataFrame | None, stopped: bool) -> None:
+        if ledger is None:
+            if rows is not None:
+                _log(rows, log_table)
+        elif stopped:
+            ledger.replace(rows, log_table, _LOG, run, STOPPED)
+        else:
+            ledger.append_once(rows, log_table, _LOG, run)
+
+    def stop(text: str) -> None:
+        error = error_row(spark.range(1), text, day)
+        log(error if messages is None else log_rows(messages, day).unionByName(error), True)
 
     for dataset in CHECKED:
         path = landing.landing_path(root, YEARLY[dataset].landed, day)
@@ -263,13 +284,11 @@ def validate_landed(
         try:
             found = landing.read_csv_header(spark, path)
         except Exception as problem:
-            log_gathered()
-            _log(error_row(spark.range(1), f"💥 Error processing {name}: {problem}", day), log_table)
+            stop(f"💥 Error processing {name}: {problem}")
             raise ValidationStopped(f"cannot read {name}") from problem
         if found != wanted:
             text = f"❌ Missing or incorrect columns in file {path}. Expected: {wanted}"
-            log_gathered()
-            _log(error_row(spark.range(1), text, day), log_table)
+            stop(text)
             raise ValidationStopped(text)
         frame = landing.read_csv(spark, path, wanted)
         assert columns_match(frame, wanted)
@@ -279,7 +298,7 @@ def validate_landed(
             suite_message(run_checks(frame.withColumns(values), checks_for(dataset)), name)
         )
         messages = one if messages is None else messages.unionByName(one)
-    log_gathered()
+    log(log_rows(messages, day), False)
     return messages
 
 
@@ -291,14 +310,23 @@ def run_cleaning(
     spark: SparkSession,
     root: str,
     database: str,
-    day: dt.date,
+    day: dt.date | dict[str, dt.date] | None,
     aliases: DataFrame,
     distance_columns: list[str],
 ) -> None:
-    """Clean every source landed on a day into the tables of a database."""
+    """Clean every landed source into the tables of a database.
+
+    ``day`` is the date of all files, or a date per source; sources without one, and all for None,
+    are read at their newest. All files are looked up before the first table is touched, so a
+    missing one stops the run and leaves nothing half done. Rows are stamped with the day, or with
+    the newest of several. The distance table keeps all ``distance_columns``.
+    """
+    sources = ["ue_pork_prices", "ue_pork_production", "pigs_trade_export", "pigs_trade_import", "pork_tariff",
+               *(extract.landed for extract in YEARLY.values()), "distance", "population", "gdp_per_capita"]
+    paths, day = landing.landed_paths(spark, root, sources, day)
 
     def path(key: str) -> str:
-        return landing.landing_path(root, key, day)
+        return paths[key]
 
     def merge(df: DataFrame, table: str) -> None:
         tables.merge_new_rows(
@@ -335,7 +363,9 @@ def run_cleaning(
         )
         tables.overwrite_table(clean_yearly(raw, extract), f"{database}.{table}", SILVER[table])
     raw = landing.read_csv(spark, path("distance"), distance_columns)
-    tables.overwrite_table(clean_distance(raw), f"{database}.distance", SILVER["distance"])
+    distances = clean_distance(raw)
+    ddl = ", ".join(f"`{c}` {kind}" for c, kind in distances.dtypes)
+    tables.overwrite_table(distances, f"{database}.distance", ddl)
     for table in ("population", "gdp_per_capita"):
         raw = landing.read_json(spark, path(table), RAW_INDICATOR)
         tables.overwrite_table(clean_indicator(raw, table), f"{database}.{table}", SILVER[table])

@@ -74,6 +74,49 @@ def _append(
     df.write.mode("append").insertInto(name)
 
 
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Put ``df`` in place of the partitions of a table it has rows of; the others stay."""
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"  # the only way insertInto heeds it
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def write_by(df: DataFrame, path: str, by: str, value: str) -> None:
+    """Write a fact to ``path`` in one folder per value of ``by``, and beside it a small table of
+    these values: how many rows each has, and in how many ``value`` is known.
+
+    The facts must be written before their summary names them, so a reader never sees a value of ``by``
+    whose rows are missing. Rows without one go to a folder of their own, which no reader of a
+    value opens.
+    """
+    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(f"{path}/rows")
+    read = df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
+    read.groupBy(by).agg(
+        F.count("*").alias("n_rows"), F.count(value).alias("n_known")
+    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/{by}s")
+
+
+def latest_of(spark: SparkSession, path: str, by: str, back: int = 0) -> DataFrame:
+    """Rows of a fact of ``write_by`` for the newest value of ``by`` that has any known value, or of
+    the numbers ``back`` before it up to it.
+
+    The newest value is a scalar subquery over the summary, and ``by`` is a partition column: it reaches
+    the scan as a filter on folders while the query runs, so other folders are not opened.
+    """
+    newest = (
+        spark.read.parquet(f"{path}/{by}s").where("n_known > 0").agg(F.max(by).alias("newest")).scalar()
+    )
+    rows = spark.read.parquet(f"{path}/rows")
+    if back:
+        return rows.where((F.col(by) >= newest - back) & (F.col(by) <= newest))
+    return rows.where(F.col(by) == newest)
+
+
 def append_table(
     df: DataFrame, name: str, ddl: str, partition_by: list[str] | None = None
 ) -> None:
@@ -148,11 +191,5 @@ def upsert_table(
     touched = source.select(partition_by).distinct()
     hit = target.join(touched, partition_by, "left_semi")
     merged = materialise(upsert(hit, source, keys, values, unique_source).select(*order))
-    mode = "spark.sql.sources.partitionOverwriteMode"  # the only way insertInto heeds it
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        merged.hint("rebalance", partition_by).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    overwrite_partitions(merged.hint("rebalance", partition_by), name)
     _append(loose, name, [partition_by])

@@ -874,6 +874,25 @@ def oracle_sql() -> dict[str, str]:
               || {_count('true')} || ' failed' AS message""",
             "dirty",
         ),
+        "dq_log_twice": with_parts(
+            f"""SELECT run_id, CAST(batch_id AS BIGINT) AS batch_id, severity, message
+              FROM (VALUES ('first'), ('second')) AS r(run_id) CROSS JOIN (
+              SELECT 0 AS batch_id, 'WARNING' AS severity,
+              '⚠️ Validation failed for file lineitem.parquet: {NULL_RULE}(l_partkey): '
+              || {_count('l_partkey IS NULL')} || '/' || {_count('true')}
+              || ' failed; {RANGE_RULE}(l_quantity): ' || {_count('l_quantity < 0')} || '/'
+              || {_count('true')} || ' failed; {UNIQUE_RULE}(N/A): '
+              || CAST({_repeated('l_orderkey', 'l_linenumber')} AS BIGINT) || '/'
+              || {_count('true')} || ' failed' AS message
+              UNION ALL SELECT 1, 'SUCCESS', '✅ File orders.parquet passed validation successfully.')""",
+            "dirty",
+        ),
+        "json_array_scan": "SELECT doc_id, md5(text) AS text_md5, lang, source, CAST(n_chars AS BIGINT) AS n_chars "
+        "FROM documents",
+        "latest_year_pruned": "SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, "
+        "sum(l_quantity) AS quantity, count(*) AS n FROM lineitem, (SELECT max(year(l_shipdate)) AS latest "
+        "FROM lineitem WHERE year(l_shipdate) < 1998 AND l_extendedprice IS NOT NULL) "
+        "WHERE year(l_shipdate) IN (latest, latest - 1) GROUP BY l_suppkey, year(l_shipdate)",
         "json_extract": "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events",
         "nested_json_scan": "SELECT n_name AS country, c_mktsegment AS iso3, "
         "CAST(c_custkey AS INTEGER) AS year, "

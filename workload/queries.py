@@ -27,6 +27,7 @@ from tradewind.plans import cleaning, reports, trade
 from tradewind.plans import market as M
 from tradewind.schemas import SILVER, conform
 from tradewind.sources import landing, reference, tables
+from tradewind.sources.ledger import RunLedger
 from workload.inputs import AS_OF, EARLIEST_YEAR, LATE, MONEY, UNION_REGION, Inputs
 
 Query = Callable[[Inputs], DataFrame]
@@ -774,9 +775,61 @@ def dq_summary(x: Inputs) -> DataFrame:
     return quality.suite_message(results, "lineitem.parquet")
 
 
+@query
+def dq_log_twice(x: Inputs) -> DataFrame:
+    """The log of two runs over two tables, each run repeated after it had died half-way or at its end."""
+    log = f"default.log_{materialise_tag()}"
+    ddl = "severity string, message string"
+    ledger = RunLedger(f"{log}_ledger", staging_root(x.spark))
+    checks = [
+        quality.NotNull("l_orderkey"),
+        quality.NotNull("l_partkey"),
+        quality.Between("l_quantity", low=0),
+        quality.UniqueTogether(("l_orderkey", "l_linenumber")),
+    ]
+    lines = materialise(quality.suite_message(quality.run_checks(_dirty_lines(x), checks), "lineitem.parquet"))
+    whole = quality.run_checks(x.table("orders"), [quality.NotNull("o_orderkey"), quality.UniqueTogether(("o_orderkey",))])
+    orders = materialise(quality.suite_message(whole, "orders.parquet"))
+    batches = [lines, orders]
+    for run, order in (("first", [0, 1, 0, 1]), ("second", [0, 0, 1])):
+        for batch in order:
+            ledger.append_once(batches[batch], log, ddl, run, batch)
+    return x.spark.table(log)
+
+
 # Sources and cleaning.
 
 
+@query
+def json_array_scan(x: Inputs) -> DataFrame:
+    """Documents landed as JSON arrays, texts and nested parts included, and read back by blocks."""
+    nested = x.table("documents").select(
+        "doc_id", "text", F.struct("lang").alias("place"), F.array(F.struct("source", "n_chars")).alias("parts")
+    )
+    path = landing.land_arrays(nested, f"{staging_root(x.spark)}/arrays-{materialise_tag()}")
+    schema = "doc_id bigint, text string, place struct<lang string>, parts array<struct<source string, n_chars bigint>>"
+    read = landing.read_json_array(x.spark, path, schema)
+    part = F.get("parts", F.lit(0))
+    return read.select(
+        "doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.col("place.lang").alias("lang"),
+        part["source"].alias("source"), part["n_chars"].alias("n_chars"),
+    )
+
+
+@query
+def latest_year_pruned(x: Inputs) -> DataFrame:
+    """Quantities per supplier of the latest year with known prices and the year before it, from a
+    fact laid out by year."""
+    year = F.year("l_shipdate")
+    fact = x.table("lineitem").select(
+        "l_suppkey", "l_quantity", year.alias("year"), F.when(year < 1998, F.col("l_extendedprice")).alias("price")
+    )
+    path = f"{staging_root(x.spark)}/fact-{materialise_tag()}"
+    tables.write_by(fact, path, "year", "price")
+    rows = tables.latest_of(x.spark, path, "year", back=1)
+    return tidy(rows.groupBy("l_suppkey", "year").agg(F.sum("l_quantity").alias("quantity"), F.count("*").alias("n")))
+
+
 @query
 def json_extract(x: Inputs) -> DataFrame:
     props = F.from_json("props", "k int")
