@@ -6,8 +6,13 @@ pruned so that no kept neighbour is nearer to another kept one than to the vecto
 ``ALPHA``. The adjacency lists of a vector from all its shards are united. Then each vector
 searches its shards: greedily from the shard's medoids, and from there through every vector in
 an extended range around it. Links are verified by cosines in double precision. A sample of
-vectors is compared with every row of its label; if too few of their links were found, all is
-done again with more overlap.
+vectors is compared with every row of its label, for every table; if too few of their links were
+found, all is done again with more overlap, and at last by comparing block with block.
+
+Where a vector's pool of nearest vectors ends within the extended range, many near copies crowd
+it and no edge may lead out. Such vectors are covered with balls: each has an edge to and from the
+medoid of its ball, and a query starts at every such medoid in its range too. The balls are so small
+that the medoid of a vector that links with the query lies in that range, so none is missed.
 
 Equal vectors count as one with a multiplicity. A link is counted in the first shard that holds
 both its ends, and only a spanning forest of the links leaves a task, so a large group of near
@@ -34,7 +39,7 @@ POOL, DEGREE, ALPHA = 48, 20, 1.2
 BEAM, STARTS, EXTENDED = 16, 8, 0.08
 # Cosines this much below the best still make a vector a member of a cluster.
 MARGINS = (0.12, 0.3, 2.0)
-AUDITED, RECALL = 48, 0.97
+AUDITED, RECALL = 512, 0.97
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -42,11 +47,30 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def pruned_graph(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (from, to) among unit vectors: robust-pruned, with their reverses."""
+def ball(least: float) -> float:
+    """Cosine to a ball's centre at which the ball of a link's one end lies in the other's range."""
+    return float(np.cos(np.arccos(least - EXTENDED) - np.arccos(least))) + 1e-9
+
+
+def _cover(x: np.ndarray, crowded: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(centre, member) of balls that hold all ``crowded`` vectors; a centre is in its own ball."""
+    centres, members, left = [], [], crowded
+    while len(left):
+        inside = x[left] @ x[left[0]] >= ball(least)
+        inside[0] = True
+        members.append(left[inside])
+        centres.append(np.full(len(members[-1]), left[0]))
+        left = left[~inside]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *centres]), np.concatenate([none, *members])
+
+
+def pruned_graph(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges (from, to) among unit vectors, robust-pruned, with their reverses; and the medoids of
+    the balls of crowded vectors, which have edges to all of their ball."""
     n = len(x)
     pool, step = min(POOL, n - 1), 256
-    out = []
+    out, crowded = [], []
     for s in range(0, n, step) if pool > 0 else ():
         own = np.arange(s, min(n, s + step))
         near = x[own] @ x.T
@@ -55,6 +79,8 @@ def pruned_graph(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(-np.take_along_axis(near, some, axis=1), axis=1, kind="stable")
         some = np.take_along_axis(some, order, axis=1)
         far = 1 - np.take_along_axis(near, some, axis=1)
+        if pool < n - 1:
+            crowded.append(own[far[:, -1] <= 1 - least + EXTENDED])
         between = 1 - np.einsum("npd,nqd->npq", x[some], x[some])
         alive = np.ones(some.shape, dtype=bool)
         rows = np.arange(len(own))
@@ -67,9 +93,10 @@ def pruned_graph(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             # Squared distances of unit vectors are twice 1 - cosine.
             alive &= ALPHA**2 * between[rows, pick] > far
             alive[rows, pick] = False
-    edges = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    centre, member = _cover(x, np.concatenate([np.zeros(0, np.int64), *crowded]), least)
+    edges = np.concatenate([*out, np.stack([centre, member])[:, centre != member]], axis=1)
     code = np.unique(np.concatenate([edges[0] * n + edges[1], edges[1] * n + edges[0]]))
-    return code // n, code % n
+    return code // n, code % n, np.unique(centre)
 
 
 def medoids(x: np.ndarray) -> np.ndarray:
@@ -82,11 +109,13 @@ def medoids(x: np.ndarray) -> np.ndarray:
     return np.array(chosen)
 
 
-def range_search(x: np.ndarray, at: np.ndarray, to: np.ndarray, q: np.ndarray, own: np.ndarray, least: float):
+def range_search(
+    x: np.ndarray, at: np.ndarray, to: np.ndarray, leads: np.ndarray, q: np.ndarray, own: np.ndarray, least: float
+):
     """Pairs (query, node) with cosine >= ``least`` found in the graph (rows ``at`` of ``to``).
 
-    Greedy from the medoids, and from the query's own node where ``own`` is not negative, then
-    through all nodes with cosine >= ``least`` - EXTENDED.
+    Greedy from the medoids, from those of balls (``leads``) in the extended range, and from the
+    query's own node where ``own`` is not negative, then through all nodes with cosine >= ``least`` - EXTENDED.
     """
     n, low = len(x), least - EXTENDED
     start = medoids(x)
@@ -100,7 +129,9 @@ def range_search(x: np.ndarray, at: np.ndarray, to: np.ndarray, q: np.ndarray, o
         sims = np.full((b, BEAM), -np.inf)
         first = np.tile(start, (b, 1))
         first = np.hstack([first, np.where(mine >= 0, mine, start[0])[:, None]])
-        row, node = np.repeat(np.arange(b), first.shape[1]), first.ravel()
+        around, ball_of = np.nonzero(y @ x[leads].T >= low)
+        row = np.concatenate([np.repeat(np.arange(b), first.shape[1]), around])
+        node = np.concatenate([first.ravel(), leads[ball_of]])
         hits_row, hits_node = [], []
         while len(row):
             code = np.unique(row * n + node)
@@ -154,6 +185,13 @@ def range_search(x: np.ndarray, at: np.ndarray, to: np.ndarray, q: np.ndarray, o
     return np.concatenate(queries), np.concatenate(nodes)
 
 
+def compare_all(x: np.ndarray, q: np.ndarray, least: float):
+    """Pairs (query, node) with cosine >= ``least``, every query compared with every node."""
+    found = [np.nonzero(q[s : s + 256] @ x.T >= least) for s in range(0, len(q), 256)]
+    queries = [row + 256 * k for k, (row, _) in enumerate(found)]
+    return np.concatenate(queries), np.concatenate([node for _, node in found])
+
+
 def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A star per component of the edges (u, v): each end with the component's least."""
     ids, code = np.unique(np.concatenate([u, v]), return_inverse=True)
@@ -233,18 +271,21 @@ def _deal(labels: np.ndarray, centroids: np.ndarray, margin: float):
     return run
 
 
-def _build(table: pa.Table) -> pa.Table:
-    ids, x = table.column("vec_id").to_numpy(), matrix(table.column("unit"))
-    a, b = pruned_graph(x)
-    at = np.searchsorted(a, np.arange(len(ids) + 1))
-    to = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids[b]))
-    return pa.table({"vec_id": ids, "adjacent": to})
+def _build(least: float):
+    def run(table: pa.Table) -> pa.Table:
+        ids, x = table.column("vec_id").to_numpy(), matrix(table.column("unit"))
+        a, b, leads = pruned_graph(x, least)
+        at = np.searchsorted(a, np.arange(len(ids) + 1))
+        to = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids[b]))
+        return pa.table({"vec_id": ids, "adjacent": to, "leads": np.isin(np.arange(len(ids)), leads)})
+
+    return run
 
 
 _FOUND = "vec_id long, other long, links long"
 
 
-def _search(least: float):
+def _search(least: float, exact: bool):
     def run(nodes: pa.Table, asked: pa.Table) -> pa.Table:
         none = pa.table({k: np.zeros(0, np.int64) for k in ("vec_id", "other", "links")})
         if not nodes.num_rows or not asked.num_rows:
@@ -261,7 +302,11 @@ def _search(least: float):
         query_ids, q = asked.column("vec_id").to_numpy(), matrix(asked.column("unit"))
         place = np.minimum(np.searchsorted(ids[order], query_ids), len(ids) - 1)
         own = np.where(ids[order][place] == query_ids, order[place], -1)
-        row, node = range_search(x, at, to, q, own, least)
+        if exact:
+            row, node = compare_all(x, q, least)
+        else:
+            leads = np.flatnonzero(nodes.column("leads").to_numpy(zero_copy_only=False))
+            row, node = range_search(x, at, to, leads, q, own, least)
         if (own >= 0).all():
             # The same vectors on both sides: what one end finds, the other has found too.
             back = np.full(len(ids), -1)
@@ -292,15 +337,17 @@ def _search(least: float):
     return run
 
 
-def _found(reps: DataFrame, labels: np.ndarray, centroids: np.ndarray, margin: float, least: float) -> DataFrame:
+def _found(
+    reps: DataFrame, labels: np.ndarray, centroids: np.ndarray, margin: float, least: float, exact: bool = False
+) -> DataFrame:
     """(vec_id, other, links): links counted per vector, and a forest of linked pairs."""
     dealt = stage(reps.mapInArrow(_deal(labels, centroids, margin), _MEMBER))
     keys = ["label", "cluster"]
     blocks = dealt.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int").alias("block")
     members = stage(dealt.join(blocks, keys).select(*dealt.columns, "blocks", block))
-    graph = members.groupBy(*keys, "block").applyInArrow(_build, "vec_id long, adjacent array<long>")
-    united = graph.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("adjacent"))).alias("adjacent"))
+    graph = members.groupBy(*keys, "block").applyInArrow(_build(least), "vec_id long, adjacent array<long>, leads boolean")
+    united = graph.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("adjacent"))).alias("adjacent"), F.max("leads").alias("leads"))
     every = F.explode(F.expr("sequence(0, blocks - 1)"))
     nodes = members.join(united, "vec_id").withColumn("asking", every)
     # Read anew, as a frame of its own: the other side of the same table.
@@ -308,20 +355,15 @@ def _found(reps: DataFrame, labels: np.ndarray, centroids: np.ndarray, margin: f
     asked = again.withColumnRenamed("block", "asking").withColumn("block", every)
     group = [*keys, "block", "asking"]
     out = stage(
-        nodes.groupBy(*group).cogroup(asked.groupBy(*group)).applyInArrow(_search(least), _FOUND)
+        nodes.groupBy(*group).cogroup(asked.groupBy(*group)).applyInArrow(_search(least, exact), _FOUND)
     )
     discard(dealt, members)
     return out
 
 
 def _audit(reps: DataFrame, found: DataFrame, least: float) -> float:
-    """Share of the links of some sampled vectors that were found; 1 where they have none."""
-    linked = found.where("links > 0").select("vec_id").distinct()
-    half = AUDITED // 2
-    order = F.xxhash64("vec_id", F.lit(4))
-    sample = reps.join(linked, "vec_id").orderBy(order).limit(half).select("vec_id", "label", "unit").unionByName(
-        reps.orderBy(order).limit(half).select("vec_id", "label", "unit")
-    ).dropDuplicates(["vec_id"]).toArrow()
+    """Share of the links of ``AUDITED`` vectors, drawn from all, that were found; 1 where they have none."""
+    sample = reps.orderBy(F.xxhash64("vec_id", F.lit(4))).limit(AUDITED).select("vec_id", "label", "unit").toArrow()
     if not sample.num_rows:
         return 1.0
     ids, labels, q = sample.column("vec_id").to_numpy(), sample.column("label").to_numpy(), matrix(sample.column("unit"))
@@ -349,7 +391,8 @@ def near_vectors(embeddings: DataFrame, least: float = 0.93) -> DataFrame:
 
     Two vectors are linked if their labels are equal and not null and their cosine is at least
     ``least``. Vectors that are null, empty, zero, or hold null or non-finite components link
-    with nothing, nor do vectors shorter than the longest; a row without vec_id has no component
+    with nothing, nor do vectors of another length than the commonest (of equally
+    common ones the longest); a row without vec_id has no component
     and is kept. vec_ids are taken to be distinct.
     """
     ready = stage(
@@ -357,8 +400,9 @@ def near_vectors(embeddings: DataFrame, least: float = 0.93) -> DataFrame:
         .select("vec_id", F.col("label").cast("long").alias("label"), "size", "x",
                 F.transform("x", lambda v: v / F.col("norm")).alias("unit"))
     )
-    longest = ready.agg(F.max("size")).first()[0] or 0
-    usable = ready.where(F.col("size") == longest)
+    # One row per length that occurs.
+    common = ready.groupBy("size").count().orderBy(F.desc("count"), F.desc("size")).first()
+    usable = ready.where(F.col("size") == (common["size"] if common else 0))
     classes = usable.groupBy("label", "x").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("unit").alias("unit")
     )
@@ -368,11 +412,13 @@ def near_vectors(embeddings: DataFrame, least: float = 0.93) -> DataFrame:
     ).select("vec_id", "rep", "n")
     bare = reps.drop("x")
     labels, centroids = _centroids(bare)
-    for margin in MARGINS:
+    for margin in MARGINS if len(labels) else MARGINS[:1]:
         found = _found(bare, labels, centroids, margin, least)
-        if not len(labels) or margin == MARGINS[-1] or _audit(bare, found, least) >= RECALL:
+        if _audit(bare, found, least) >= RECALL:
             break
         discard(found)
+    else:
+        found = _found(bare, labels[:0], centroids[:0], 0.0, least, exact=True)
     counts = found.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("links").alias("links"))
     linked = components(found.where("vec_id <> other"), "vec_id", "other").toDF("rep", "component")
     known = (
