@@ -315,6 +315,25 @@ def with_parts(select: str, upto: str) -> str:
     return _expand_plain(f"WITH {parts}\n{select}")
 
 
+def _blank_sum(a: str, b: str) -> str:
+    return f"CASE WHEN coalesce({a}, {b}) IS NOT NULL THEN coalesce({a}, 0) + coalesce({b}, 0) END"
+
+
+_EVER_IN_TOP = f"""
+  SELECT DISTINCT country_id, name FROM (
+    SELECT country_id, name, rank() OVER (PARTITION BY wd, wt, wf, wc, ws ORDER BY score DESC) AS place FROM (
+      SELECT *, round({_blank_sum('wd * demand', '(1 - wd) * ease')}, 4) AS score FROM (
+        SELECT *, {_blank_sum('wt * size', '(1 - wt) * growth')} AS demand FROM (
+          SELECT *, {_blank_sum('ws * size_n', '(1 - ws) * gap_n')} AS size,
+            {_blank_sum('wc * cagr_n', '(1 - wc) * gdp_n')} AS growth,
+            CASE WHEN tariff_n IS NOT NULL AND dist_n IS NOT NULL THEN 1.0 ELSE 0.5 END
+              - {_blank_sum('wf * tariff_n', '(1 - wf) * dist_n')} AS ease
+          FROM indicators, (SELECT i / 4.0 AS wd FROM range(5) AS t(i)), (SELECT i / 4.0 AS wt FROM range(5) AS t(i)),
+            (SELECT i / 4.0 AS wf FROM range(5) AS t(i)), (SELECT i / 4.0 AS wc FROM range(5) AS t(i)),
+            (SELECT i / 4.0 AS ws FROM range(5) AS t(i)))))
+    WHERE score IS NOT NULL) WHERE place <= 12"""
+
+
 def _rounded(columns: list[str], plain: list[str], source: str, upto: str, where: str = "") -> str:
     shown = [*plain, *[r(c, c) for c in columns]]
     return with_parts(f"SELECT {', '.join(shown)} FROM {source} {where}", upto)
@@ -639,6 +658,7 @@ def oracle_sql() -> dict[str, str]:
             "WHERE market_score IS NOT NULL) WHERE place <= 12",
             "scored",
         ),
+        "ever_in_top12": with_parts(_EVER_IN_TOP, "indicators"),
         "top_lines_by_supplier": "SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_extendedprice "
         "FROM (SELECT *, rank() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_extendedprice DESC) "
         "AS place FROM lineitem) WHERE place <= 3",

@@ -19,6 +19,7 @@ from tradewind.operators import (
     scaling,
     scoring,
     sketches,
+    sliders,
 )
 from tradewind.operators.growth import windowed_cagr
 from tradewind.operators.scoring import Weights
@@ -305,6 +306,12 @@ def top12_by_scenario(x: Inputs) -> DataFrame:
     return tidy(reports.best_of_scenarios(scored, 12))
 
 
+@query
+def ever_in_top12(x: Inputs) -> DataFrame:
+    """Partners among the twelve best at any of the 3,125 settings in quarters."""
+    return sliders.ever_in_top(_indicators(x), 12, steps=4)
+
+
 @query
 def top_lines_by_supplier(x: Inputs) -> DataFrame:
     """The three dearest line items of every supplier and return flag, ties kept."""
