@@ -161,6 +161,38 @@ def test_suffixes_equal_brute_force(request, monkeypatch, which, length, hot):
     assert all(r.n_removed == 0 for r in rows if r.doc_id is None)
 
 
+def test_suffixes_with_every_gram_salted(docs, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 1)
+    monkeypatch.setattr(suffixes, "SALTED", 10**9)
+    rows = suffixes.repeat_digest(docs.repartition(7), 60).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == _removed(docs, 60)
+
+
+@pytest.mark.parametrize("rows_each", [1, 2, 5])
+def test_hot_windows_are_found_however_the_slices_fall(rows_each):
+    shared = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(300))
+    texts = [f"{i:03d}" * (i + 1) + shared[i % 3 * 20 :] + f"tail {i}" for i in range(5)] + ["only here " * 9]
+    length = 100
+    grams = []
+    for text in texts:
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        grams.append(suffixes._anchors(data, np.array([0, len(data)]), length)[0].view(np.int64).tolist())
+    whole = pa.RecordBatch.from_pydict(
+        {"doc_id": list(range(6)), "version": [7] * 6, "text": texts, "grams": pa.array(grams, pa.list_(pa.int64()))}
+    )
+    slices = [whole.slice(i, rows_each) for i in range(0, 6, rows_each)]
+    rows = [r for one in slices for b in suffixes._hot_windows(length)(iter([one])) for r in b.to_pylist()]
+    held = Counter(r["window"] for r in rows if r["window"] is not None)
+    removed = {i: set() for i in range(6)}
+    for r in rows:
+        if r["doc_id"] is not None and (r["window"] is None or held[r["window"]] > 1):
+            removed[r["doc_id"]] |= set(range(r["start"], r["end"]))
+    seen = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
+    for i, t in enumerate(texts):
+        twice = [p for p in range(len(t) - length + 1) if seen[t[p : p + length]] > 1]
+        assert removed[i] == {x for p in twice for x in range(p, p + length)}
+
+
 def test_suffix_cut_keeps_rows_and_columns(odd, empty):
     cut = suffixes.without_repeats(odd)
     assert cut.columns == odd.columns and cut.count() == odd.count()

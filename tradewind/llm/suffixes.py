@@ -15,8 +15,9 @@ their anchor at the same offset, so nothing that repeats can be missed.
 4. Neighbours that share a gram form a group. Windows of a group's members are compared by
    content; those that come twice give the spans.
 
-Grams that come more than ``HOT`` times would fill one task. Their windows go, hashed, through
-a grouped count, which is combined before the shuffle: the same answer by a way with no group.
+Grams that come more than ``HOT`` times would fill one task. Their windows are hashed and first
+compared within a slice of texts: those that come twice there are spans at once, and are sent
+on once, for other slices to find. All others go through a grouped count. No task holds a group.
 
 A row without doc_id takes no part: nothing is removed from it and it is no one's partner.
 Null texts count as empty. Rows that repeat an id and text are copies of each other.
@@ -36,6 +37,9 @@ from tradewind.llm import common
 from tradewind.llm.common import discard, stage
 
 HOT = 4096
+# A gram with more than one in SALTED of all anchors is dealt over SALTS tasks.
+SALTED = 1000
+SALTS = 64
 # Text bytes a range of suffixes should hold, and documents sampled for the range limits.
 RANGE_BYTES = 8 << 20
 SAMPLE = 2000
@@ -334,26 +338,51 @@ def _merge(length: int):
     return run
 
 
+_HOT = "doc_id long, version long, window long, start int, end int"
+
+
 def _hot_windows(length: int):
+    """Windows at hot grams, by three kinds of rows. Without ``window``: a span of windows that come
+    twice in the slice. Without ``doc_id``: a window that comes twice there, given once, for others
+    to find. With both: a window that comes once in the slice and asks whether others hold it."""
+
+    def rows(doc, version, window, start, end) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc, pa.int64()), pa.array(version, pa.int64()), pa.array(window, pa.int64()),
+             pa.array(start, pa.int32()), pa.array(end, pa.int32())],
+            ["doc_id", "version", "window", "start", "end"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch, "text"):
                 found = _entries(part, length)
                 if not found:
                     continue
-                rows = pa.array([x[2] for x in found])
-                ids, versions = part.column("doc_id").take(rows), part.column("version").take(rows)
-                hashes, at = _windows([(key, before) for key, before, *_ in found], length)
-                item = np.repeat(np.arange(len(found)), np.diff(at))
-                origin = np.array([x[3] - len(x[1]) for x in found]) - at[:-1]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(item)), versions.take(pa.array(item)),
-                        pa.array(hashes.view(np.int64)),
-                        pa.array(np.arange(len(item)) + origin[item], pa.int32()),
-                    ],
-                    ["doc_id", "version", "window", "start"],
-                )
+                text = pa.array([x[2] for x in found])
+                ids, versions = part.column("doc_id").take(text), part.column("version").take(text)
+                items = [
+                    (key, before, doc, version, anchor)
+                    for (key, before, _, anchor), doc, version in zip(found, ids.to_pylist(), versions.to_pylist())
+                ]
+                hashes, at = _windows(items, length)
+                _, back, n = np.unique(hashes, return_inverse=True, return_counts=True)
+                twice = n[back] > 1
+                spans = list(_spans(items, twice, at, length))
+                if spans:
+                    doc, version, start, end = zip(*spans)
+                    yield rows(doc, version, [None] * len(spans), start, end)
+                known = np.unique(hashes[twice]).view(np.int64)
+                if len(known):
+                    none = [None] * len(known)
+                    yield rows(none, none, known, none, none)
+                item = np.repeat(np.arange(len(items)), np.diff(at))
+                origin = np.array([x[4] - len(x[1]) for x in items]) - at[:-1]
+                once = np.flatnonzero(~twice)
+                if len(once):
+                    mine = pa.array(item[once])
+                    start = once + origin[item[once]]
+                    yield rows(ids.take(mine), versions.take(mine), hashes[once].view(np.int64), start, start + length)
 
     return run
 
@@ -404,8 +433,15 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataF
         _keys(length), "doc_id long, version long, gram long"))
     other = counted.where("NOT is_first").select("doc_id", "version").distinct()
     single = keys.join(other, ["doc_id", "version"], "left_anti")
-    grams = single.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = stage(single.join(grams, "gram"))
+    grams = stage(single.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
+    # A gram with a large share of all rows is dealt over SALTS keys. There are at most SALTED of them.
+    share = keys.count() / SALTED
+    salted = F.broadcast(grams.where(F.col("n") > share).select("gram", F.lit(SALTS).alias("salts")))
+    salts = F.when(F.col("n") > share, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = single.join(salted, "gram", "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("doc_id", "version"), F.col("salts")), F.lit(0)).cast("int")
+    ).drop("salts")
+    repeated = stage(dealt.join(grams.withColumn("salt", F.explode(salts)), ["gram", "salt"]).drop("salt"))
     cold = F.collect_set(F.when(F.col("n") <= HOT, F.col("gram")))
     hot = F.collect_set(F.when(F.col("n") > HOT, F.col("gram")))
     marked = repeated.groupBy("doc_id", "version").agg(cold.alias("cold"), hot.alias("hot"))
@@ -427,14 +463,18 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataF
     )
     windows = stage(
         texts.where("size(hot) > 0").select(*columns, F.col("hot").alias("grams"))
-        .mapInArrow(_hot_windows(length), "doc_id long, version long, window long, start int")
+        .mapInArrow(_hot_windows(length), _HOT)
+    )
+    twice = (
+        windows.where("window IS NOT NULL").groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     )
-    twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    hot_spans = windows.join(twice, "window").select("doc_id", "version", "start", (F.col("start") + length).alias("end"))
-    found = stage(spans.unionByName(hot_spans))
+    edges = ["doc_id", "version", "start", "end"]
+    met = windows.where("doc_id IS NOT NULL").join(twice, "window").select(*edges)
+    near = windows.where("window IS NULL").select(*edges)
+    found = stage(spans.unionByName(near).unionByName(met))
     kept_texts = texts.select(*columns)
     kept_texts.staged_path = texts.staged_path
-    discard(base, keys, repeated, windows)
+    discard(base, keys, grams, repeated, windows)
     return counted, found, kept_texts
 
 
