@@ -368,7 +368,11 @@ def _hot_windows(length: int):
                 hashes, at = _windows(items, length)
                 _, back, n = np.unique(hashes, return_inverse=True, return_counts=True)
                 twice = n[back] > 1
-                spans = list(_spans(items, twice, at, length))
+                # Text of short period has anchors close together; their spans are one.
+                near: dict[tuple[int, int], list[tuple[int, int]]] = {}
+                for doc, version, start, end in _spans(items, twice, at, length):
+                    near.setdefault((doc, version), []).append((start, end))
+                spans = [(*key, *span) for key, some in near.items() for span in _joined(*zip(*some))]
                 if spans:
                     doc, version, start, end = zip(*spans)
                     yield rows(doc, version, [None] * len(spans), start, end)
