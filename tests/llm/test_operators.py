@@ -255,6 +255,53 @@ def test_packing_plan_is_sound_and_near_the_bound():
         assert sum(n for _, n in plan) <= -(-total // 100) + 12
     # Pairs that fill a sequence are fixed first.
     assert sorted(packing.reduce_and_fit({60: 2, 40: 2}, 100)) == [((60, 40), 2)]
+    # The long piece is not decided, and still counts when the short ones are looked at.
+    assert packing.reduce_and_fit({6: 1, 2: 2}, 10) == [((6, 2, 2), 1)]
+    # Three pieces together beat the longest that fits.
+    assert sum(n for _, n in packing.reduce_and_fit({100: 1, 80: 1, 30: 3, 120: 1}, 200)) == 2
+
+
+def _fewest(items, capacity):
+    """Fewest sequences by trying every place for every piece."""
+    items, best, rooms = sorted(items, reverse=True), [len(items)], []
+
+    def place(i):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(rooms)
+            return
+        for j, room in enumerate(rooms):
+            if room >= items[i] and room not in rooms[:j]:
+                rooms[j] -= items[i]
+                place(i + 1)
+                rooms[j] += items[i]
+        rooms.append(capacity - items[i])
+        place(i + 1)
+        rooms.pop()
+
+    place(0)
+    return best[0]
+
+
+def test_fixed_sets_lose_nothing(monkeypatch):
+    fit, rest = packing._best_fit, []
+    monkeypatch.setattr(packing, "_best_fit", lambda items, capacity: rest.append(items) or [])
+    for seed in range(600):
+        rng = np.random.default_rng(seed)
+        capacity = int(rng.choice([10, 20, 100]))
+        pieces = rng.integers(max(1, capacity // 8), capacity + 1, rng.integers(1, 10)).tolist()
+        fixed = sum(n for _, n in packing.reduce_and_fit(dict(Counter(pieces)), capacity))
+        left = [w for w, n in rest.pop() for _ in range(n)]
+        assert fixed + _fewest(left, capacity) == _fewest(pieces, capacity)
+    for seed in range(1000):
+        rng = np.random.default_rng(seed)
+        capacity = int(rng.choice([10, 30, 100, 2048]))
+        top = int(rng.choice([capacity, capacity // 2, capacity * 2 // 3]))
+        counts = dict(Counter(rng.integers(1, top + 1, rng.integers(1, 60)).tolist()))
+        fixed = sum(n for _, n in packing.reduce_and_fit(counts, capacity))
+        whole = fixed + sum(n for _, n in fit(rest.pop(), capacity))
+        assert whole <= sum(n for _, n in fit(list(counts.items()), capacity))
 
 
 def test_packing_empty_table(empty):

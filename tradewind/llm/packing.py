@@ -4,11 +4,11 @@ Documents are tokenised where they lie; only longer ones are cut. Which lengths
 sequence is decided on the histogram of lengths, which has at most one count per length, so
 the plan is as small for 100 TB as for one table:
 
-1. Martello-Toth reduction. For the largest length left, the sets of smaller pieces that can
-   join it are compared. Alone, when nothing fits beside it; with the largest that fits, when
-   that fills the sequence, when no two fit together, or when no two that fit together are
-   larger than it. Such a set dominates all others, so it is fixed, for as many sequences as the
-   counts allow at once.
+1. Martello-Toth reduction. A piece that nothing fits beside is fixed alone; any other is fixed
+   with the longest piece that fits, if no set of free pieces that fits holds more tokens (sums of
+   any number of pieces are looked at, as bits of one number). Such a set dominates all others,
+   so it is fixed, for as many sequences as the counts allow at once. Lengths not decided stay free
+   and count in later comparisons; rounds go on while they fix something.
 2. Best-fit decreasing on what is left: each piece goes where the least room remains.
 
 Every piece then gets a running number within its length, by counts per part and a prefix sum
@@ -203,63 +203,67 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
 
 def reduce_and_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths that share a sequence, number of such sequences) for a histogram of lengths."""
+    """(lengths that share a sequence, number of such sequences) for a histogram of lengths.
+
+    From the longest length down, a piece is fixed with the longest piece that fits beside it if
+    no set of free pieces that fits there holds more tokens: in any packing the pieces beside it
+    can then change places with that one, so an optimum keeps the set. A piece that nothing
+    fits beside is fixed alone. Lengths that cannot be fixed stay free and count in all later
+    comparisons. Rounds go on while they fix something, since fewer free pieces allow
+    more; the rest is packed by best fit.
+    """
     left = {w: n for w, n in counts.items() if n}
-    sizes = sorted(left)
     plan: list[tuple[tuple[int, ...], int]] = []
-    undecided: list[tuple[int, int]] = []
-
-    def take(w: int, n: int) -> None:
-        left[w] -= n
-        if not left[w]:
-            del left[w]
-            sizes.pop(bisect_left(sizes, w))
-
-    while sizes:
-        top = sizes[-1]
-        room = capacity - top
-        k = bisect_left(sizes, room + 1) - 1
-        if k < 0:
-            n = left[top]
-            plan.append(((top,), n))
-            take(top, n)
-            continue
-        mate = sizes[k]
-        if mate == top and left[top] == 1:
-            if k == 0:
-                plan.append(((top,), 1))
-                take(top, 1)
-                continue
-            mate = sizes[k - 1]
-        if mate == top:
-            n = left[top] // 2
-        else:
-            n = min(left[top], left[mate])
-        if mate == room or _largest_two(sizes, left, top, room) <= mate:
-            plan.append(((top, mate), n))
-            if mate == top:
-                take(top, 2 * n)
-            else:
-                take(top, n)
-                take(mate, n)
-        else:
-            undecided.append((top, left[top]))
-            take(top, left[top])
-    return plan + _best_fit(undecided, capacity)
-
-
-def _largest_two(sizes: list[int], left: dict[int, int], top: int, room: int) -> int:
-    """The largest sum of two pieces, besides one of length ``top``, that fit in ``room``; 0 if none do."""
-    lo, hi, best = 0, bisect_left(sizes, room + 1) - 1, 0
-    while lo <= hi:
-        both = sizes[lo] + sizes[hi]
-        if both > room:
-            hi -= 1
-            continue
-        if lo < hi or left[sizes[lo]] - (sizes[lo] == top) > 1:
-            best = max(best, both)
-        lo += 1
-    return best
+    fixed = True
+    while fixed and left:
+        fixed = False
+        sizes = sorted(left)
+        for top in reversed(sizes.copy()):
+            while top in left:
+                lengths, n = _dominating(sizes, left, top, capacity - top)
+                if not n:
+                    break
+                plan.append((lengths, n))
+                fixed = True
+                for w in lengths:
+                    left[w] -= n
+                    if not left[w]:
+                        del left[w]
+                        sizes.pop(bisect_left(sizes, w))
+    return plan + _best_fit(list(left.items()), capacity)
+
+
+def _dominating(sizes: list[int], left: dict[int, int], top: int, room: int) -> tuple[tuple[int, ...], int]:
+    """The set with one piece of length ``top`` that dominates all others, and how many such sets
+    can be fixed at once; none if no set does."""
+    k = bisect_left(sizes, room + 1) - 1
+    if k >= 0 and sizes[k] == top and left[top] == 1:
+        k -= 1
+    if k < 0:
+        return (top,), 1 if top <= room else left[top]
+    mate = sizes[k]
+    if mate < room and _holds_more(sizes[: k + 1], left, top, mate, room):
+        return (), 0
+    return (top, mate), left[top] // 2 if mate == top else min(left[top], left[mate])
+
+
+def _holds_more(sizes: list[int], left: dict[int, int], top: int, mate: int, room: int) -> bool:
+    """Whether some free pieces, besides one of length ``top``, have a sum above ``mate`` within ``room``.
+
+    Bit ``s`` of ``sums`` tells that pieces with the sum ``s`` exist.
+    """
+    sums, within, above = 1, (1 << room + 1) - 1, room - mate
+    for w in sizes:
+        n = min(left[w] - (w == top), room // w)
+        step = 1
+        while n > 0:
+            take = min(step, n)
+            sums |= sums << take * w & within
+            n -= take
+            step *= 2
+        if sums >> mate + 1 and above:
+            return True
+    return False
 
 
 def _best_fit(items: list[tuple[int, int]], capacity: int) -> list[tuple[tuple[int, ...], int]]:
