@@ -29,6 +29,10 @@ def test_symbol_sentinel_and_plain_number(spark):
     assert one(spark, numbers.plain_number(F.lit(0.9 * 0.7 * 0.7))) == "0.441"
     assert one(spark, numbers.plain_number(F.lit(0.0))) == "0"
     assert one(spark, numbers.plain_number(F.lit(-120.50))) == "-120.5"
+    assert one(spark, numbers.plain_number(F.lit(100.0), 0)) == "100"
+    assert one(spark, numbers.plain_number(F.lit(99.6), 0)) == "100"
+    assert one(spark, numbers.plain_number(F.lit(1050.0), 2)) == "1050"
+    assert one(spark, numbers.plain_number(F.lit(0.05), 1)) == "0.1"
 
 
 def test_blank_arithmetic(spark):

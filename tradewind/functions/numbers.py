@@ -64,9 +64,10 @@ def blank_sum(*terms: Column) -> Column:
 
 
 def plain_number(c: str | Column, scale: int = 10) -> Column:
-    """Number as text without exponent and without trailing zeros."""
+    """Number as text without exponent and without trailing zeros, rounded to ``scale`` places."""
     fixed = as_column(c).cast(f"decimal(38,{scale})").cast("string")
-    return F.regexp_replace(fixed, r"\.?0+$", "")
+    # Zeros before the point stay.
+    return F.regexp_replace(fixed, r"\.0+$|(\.\d*?)0+$", "$1")
 
 
 def blank_text(*parts: str | Column) -> Column:

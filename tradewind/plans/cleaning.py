@@ -38,7 +38,6 @@ class YearlyExtract:
 
 
 # Column names of the published extracts.
-_GDP = "gross_domestic_product__gdp__constant_prices__percent_change_"
 YEARLY = {
     "consumption": YearlyExtract(
         "pork_consumption",
@@ -63,10 +62,10 @@ YEARLY = {
     "gdp_growth": YearlyExtract(
         "gdp_growth",
         {
-            f"{_GDP}observation": "gdp_change",
-            f"{_GDP}forecast__projected": "gdp_change_forecast",
-            f"{_GDP}observation__annotations": "gdp_change_annotations",
-            f"{_GDP}forecast__annotations": "gdp_change_forecast_annotations",
+            "gross_domestic_product__gdp__constant_prices__percent_change_observation": "gdp_change",
+            "gross_domestic_product__gdp__constant_prices__percent_change_forecast__projected": "gdp_change_forecast",
+            "gross_domestic_product__gdp__constant_prices__percent_change_observation__annotations": "gdp_change_annotations",
+            "gross_domestic_product__gdp__constant_prices__percent_change_forecast__annotations": "gdp_change_forecast_annotations",
         },
         {"gdp_change": "double", "gdp_change_forecast": "double"},
     ),

@@ -761,12 +761,12 @@ def oracle_sql() -> dict[str, str]:
             "DATE '2001-12-31' AS created, count(*) AS n_lines, "
             "sum(product_weight_in_tonnes) AS weight, "
             "CAST(sum(value_in_thousand_euro) AS DOUBLE) AS value "
-            "FROM trade WHERE flow <> 'other' GROUP BY flow, marketing_year, month_order",
+            "FROM trade GROUP BY flow, marketing_year, month_order",
             "trade",
         ),
         "trade_union": with_parts(
             "SELECT flow, partner, count(*) AS n_lines, min(product_code) AS first_code "
-            "FROM trade WHERE flow IN ('export', 'import') GROUP BY flow, partner",
+            "FROM trade GROUP BY flow, partner",
             "trade",
         ),
         "export_import_last_month": with_parts("SELECT * FROM trade_rows", "trade_rows"),

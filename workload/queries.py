@@ -485,8 +485,9 @@ def production_silver(x: Inputs) -> DataFrame:
 
 @query
 def trade_silver(x: Inputs) -> DataFrame:
-    """Trade lines as text extracts, cleaned, then counted and summed per month."""
-    texts = x.trade.select(
+    """All trade lines as two text extracts, exports and the rest, cleaned, then counted and summed
+    per month. The lines are joined once and written; both extracts read them."""
+    lines = x.trade.select(
         "flow",
         F.col("marketing_year").cast("string").alias("marketing_year"),
         F.date_format(F.make_date("marketing_year", "month_order", F.lit(1)), "MMMM").alias("month"),
@@ -500,8 +501,9 @@ def trade_silver(x: Inputs) -> DataFrame:
         F.col("carcase_weight_in_tonnes").cast("string").alias("carcase_weight_in_tonnes"),
         F.col("value_in_thousand_euro").cast("string").alias("value_in_thousand_euro"),
     ).withColumnsRenamed({v: k for k, v in cleaning.TRADE_NAMES.items()})
-    exports = texts.where(F.col("Flow") == "export")
-    imports = texts.where(F.col("Flow") == "import")
+    texts = materialise(lines)
+    is_export = F.col("Flow").eqNullSafe("export")
+    exports, imports = texts.where(is_export), texts.where(~is_export)
     cleaned = cleaning.clean_trade(exports, imports, AS_OF)
     return cleaned.groupBy("flow", "marketing_year", "month_order", "month", "created").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -512,9 +514,11 @@ def trade_silver(x: Inputs) -> DataFrame:
 
 @query
 def trade_union(x: Inputs) -> DataFrame:
-    """Export and import lines put together by column name."""
-    exports = x.trade.where(F.col("flow") == "export").select("flow", "product_code", "partner")
-    imports = x.trade.where(F.col("flow") == "import").select("partner", "flow", "product_code")
+    """Export lines and all others put together by column name."""
+    lines = materialise(x.trade.select("flow", "product_code", "partner"))
+    is_export = F.col("flow").eqNullSafe("export")
+    exports = lines.where(is_export)
+    imports = lines.where(~is_export).select("partner", "flow", "product_code")
     both = exports.unionByName(imports)
     return both.groupBy("flow", "partner").agg(
         F.count(F.lit(1)).alias("n_lines"), F.min("product_code").alias("first_code")
