@@ -465,6 +465,36 @@ def test_chaining_finds_every_exact_passage(docs, odd, empty):
     assert chaining.shared_passages(empty).count() == 0
 
 
+def test_chaining_links_documents_whose_seeds_come_first_elsewhere(spark):
+    """The halves of the passage of 3 and 4 are older than both, each in a document of its own."""
+    passage, rest = [f"p{i}" for i in range(60)], [f"r{i}" for i in range(160)]
+    parts = [passage[:30], passage[30:], passage, passage]
+    rows = [(i + 1, " ".join(rest[40 * i : 40 * i + 20] + p + rest[40 * i + 20 : 40 * i + 40])) for i, p in enumerate(parts)]
+    found = chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.other_id, r.n_words, r.identity) for r in found] == [(4, 3, 60, 1.0)]
+
+
+def test_chaining_finds_changed_passages(spark):
+    """Between the changed words 13 stay, of which one seed at least is sure."""
+    rows = []
+    for k in range(60):
+        passage = [f"p{k}x{i}" for i in range(55)]
+        other = [f"q{k}x{i}" if i % 14 == 13 else w for i, w in enumerate(passage)]
+        for i, words in enumerate((passage, other)):
+            before, after = ([f"{side}{k}x{i}x{j}" for j in range(40)] for side in "ba")
+            rows.append((2 * k + i, " ".join(before + words + after)))
+    found = chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.other_id) for r in found) == [(2 * k + 1, 2 * k) for k in range(60)]
+
+
+def test_seeds_of_many_holders_meet_the_first_one(spark, monkeypatch):
+    monkeypatch.setattr(chaining, "FEW", 3)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"a{i} b{i} c{i} {passage} d{i} e{i}") for i in range(6)]
+    found = chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.other_id) for r in found) == [(i, 0) for i in range(1, 6)]
+
+
 def test_chain_is_the_best_by_brute_force():
     rng = np.random.default_rng(4)
     for _ in range(20):
