@@ -487,6 +487,16 @@ def test_chaining_finds_changed_passages(spark):
     assert sorted((r.doc_id, r.other_id) for r in found) == [(2 * k + 1, 2 * k) for k in range(60)]
 
 
+def test_two_passages_beside_a_gap_are_found_apart():
+    """As one they agree in 120 of 175 words only."""
+    x = np.arange(175, dtype=np.uint64)
+    y = x.copy()
+    y[60:115] += np.uint64(1000)
+    places = np.concatenate([np.arange(0, 55, 5), np.arange(115, 170, 5)])
+    assert chaining.align(x, y, places, places)[4] == 120
+    assert chaining.passages(x, y, places, places) == {(0, 60, 0, 60, 60), (115, 175, 115, 175, 60)}
+
+
 def test_seeds_of_many_holders_meet_the_first_one(spark, monkeypatch):
     monkeypatch.setattr(chaining, "FEW", 3)
     passage = " ".join(f"p{i}" for i in range(60))
