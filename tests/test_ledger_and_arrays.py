@@ -153,6 +153,20 @@ def test_json_array_is_split(spark, tmp_path):
         spark.conf.set(size, before)
 
 
+def test_landed_arrays_stay_small(spark, tmp_path, monkeypatch):
+    """More files, not longer ones, for more rows; all rows come back."""
+    monkeypatch.setattr(landing, "FILE_BYTES", 4096)
+    few, many = (spark.range(n).selectExpr("id AS k", "repeat('x', 60) AS t") for n in (100, 8000))
+    longest = []
+    for name, frame in (("few", few), ("many", many)):
+        path = landing.land_arrays(frame, str(tmp_path / name))
+        files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+        longest.append(max(map(os.path.getsize, files)))
+        assert sorted(r["k"] for f in files for r in json.load(open(f))) == list(range(frame.count()))
+        assert rows(landing.read_json_array(spark, path, "k bigint, t string")) == rows(frame)
+    assert longest[1] < 3 * 4096
+
+
 def test_latest_year_reads_its_folders_only(spark, tmp_path):
     fact = spark.range(4000).selectExpr(
         "id", "CASE WHEN id % 50 <> 0 THEN CAST(2000 + id % 8 AS int) END AS year",

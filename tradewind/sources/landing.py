@@ -33,6 +33,8 @@ LANDED = {
 }
 
 CORRUPT = "_corrupt_record"
+# JSON bytes a file of objects should hold: one task sorts and writes it.
+FILE_BYTES = 16 << 20
 _DATE_IN_NAME = r"_(\d{4}-\d{2}-\d{2})\.[a-z]+$"
 
 
@@ -164,13 +166,18 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: str | T.
 
 
 def land_arrays(df: DataFrame, path: str, files: int = 16) -> str:
-    """Write a frame as ``files`` files at most below ``path``, each one JSON array over many lines."""
+    """Write a frame below ``path`` as files that are each one JSON array over many lines.
+
+    ``files`` at most, or as many as it takes for ``FILE_BYTES`` in each: a file is one task's work,
+    which must not grow with the frame.
+    """
     order = Window.partitionBy("file").orderBy("hash", "json")
     head = F.when(F.lag("json").over(order).isNull(), "[").otherwise(",")
     tail = F.when(F.lead("json").over(order).isNull(), "]").otherwise("")
-    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json")).withColumn(
-        "hash", F.xxhash64("json")
-    ).withColumn("file", F.pmod("hash", F.lit(files)))
+    objects = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))
+    size = objects.agg(F.sum(F.octet_length("json"))).first()[0] or 0
+    files = max(files, -(-size // FILE_BYTES))
+    rows = objects.withColumn("hash", F.xxhash64("json")).withColumn("file", F.pmod("hash", F.lit(files))).repartition(files, "file")
     rows.select("file", F.concat(head, "json", tail).alias("value")).write.partitionBy("file").text(path)
     return path
 
