@@ -505,6 +505,38 @@ def test_seeds_of_many_holders_meet_the_first_one(spark, monkeypatch):
     assert sorted((r.doc_id, r.other_id) for r in found) == [(i, 0) for i in range(1, 6)]
 
 
+def test_reach_is_never_less_than_what_is_drawn_out():
+    rng = np.random.default_rng(8)
+    for k in range(300):
+        x = rng.integers(0, 1 << 40, rng.integers(60, 500)).astype(np.uint64)
+        y = np.where(rng.random(len(x)) < rng.choice([0.1, 0.3, 0.9, 1.0]), x + np.uint64(1), x)
+        if k % 3 == 0:
+            y[: len(y) // 2] = x[: len(x) // 2] + np.uint64(1)
+        at = int(rng.integers(0, len(x) - chaining.KMER))
+        y[at : at + chaining.KMER] = x[at : at + chaining.KMER]
+        start, end, *_ = chaining.align(x, y, np.array([at]), np.array([at]))
+        zeros = np.zeros(chaining.AROUND, np.uint8)
+        cx, cy = (np.concatenate([zeros, w % np.uint64(255) + np.uint64(1), zeros]).astype(np.uint8) for w in (x, y))
+        mid, after = at + chaining.AROUND, at + chaining.AROUND + chaining.KMER
+        room = len(x) - at - chaining.KMER
+        left = chaining.reach(*(c[None, mid - chaining.AROUND : mid][:, ::-1] for c in (cx, cy)), np.array([at]))
+        right = chaining.reach(*(c[None, after : after + chaining.AROUND] for c in (cx, cy)), np.array([room]))
+        assert left[0] >= min(at - start, chaining.STRETCH)
+        assert right[0] >= min(end - at - chaining.KMER, chaining.STRETCH)
+
+
+def test_texts_are_not_sent_for_seeds_shared_by_chance(spark):
+    """Ten documents share six words with the first one, the last one a passage with each ninth word changed."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(words))]
+    rows += [(k, " ".join([*(f"a{k}x{i}" for i in range(90)), *words[20 * k : 20 * k + 6], *(f"b{k}x{i}" for i in range(90))])) for k in range(1, 11)]
+    rows += [(11, " ".join(f"c{i}" if i % 9 == 4 else w for i, w in enumerate(words[230:290])))]
+    whole = spark.createDataFrame(rows, "doc_id long, text string")
+    lone = [(k, 0, [1], [90], [20 * k]) for k in range(1, 11)] + [(11, 0, [1], [14], [244])]
+    found = spark.createDataFrame([*lone, (12, 0, [2], [0, 9], [0, 9])], chaining._CHAIN)
+    assert sorted((r.doc_id, r.other_id, r.a) for r in chaining._likely(found, whole).collect()) == [(11, 0, [14]), (12, 0, [0, 9])]
+
+
 def test_chain_is_the_best_by_brute_force():
     rng = np.random.default_rng(4)
     for _ in range(20):
