@@ -505,6 +505,26 @@ def test_seeds_of_many_holders_meet_the_first_one(spark, monkeypatch):
     assert sorted((r.doc_id, r.other_id) for r in found) == [(i, 0) for i in range(1, 6)]
 
 
+def test_packing_encodes_a_chunk_once_in_all_tasks_of_a_worker(monkeypatch):
+    """Three tasks one after another; the later ones bring old chunks and new ones."""
+    sent, encode = [], packing.Encoder._encode
+    monkeypatch.setattr(packing.Encoder, "_encode", lambda self, raw: sent.extend(raw) or encode(self, raw))
+    monkeypatch.setattr(packing, "_encoders", {}, raising=False)
+    path = packing.tokenizer_path()
+    tasks = [["Zebra ananas kumquat, quince zebra"], ["Aardvark ananas quince zoo kumquat, apple"], ["Zebra zoo", "apple apple quince"]]
+    for k, rows in enumerate(tasks):
+        batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in enumerate(rows)])
+        sent.clear()
+        found = [r for b in packing._pieces(path, 2048)(iter([batch])) for r in b.to_pylist()]
+        ids = [packing.encoder_of(path).tokenizer.encode(t, add_special_tokens=False).ids for t in rows]
+        assert [r["ids_crc32"] for r in found] == [zlib.crc32(np.array([*i, 0], "<u4").tobytes()) for i in ids]
+        assert sorted(sent) == [
+            sorted([b"Zebra", b" ananas", b" kumquat,", b" quince", b" zebra"]),
+            sorted([b"Aardvark", b" zoo", b" apple"]),
+            [b"apple"],
+        ][k]
+
+
 def test_reach_is_never_less_than_what_is_drawn_out():
     rng = np.random.default_rng(8)
     for k in range(300):

@@ -31,8 +31,8 @@ from tradewind.llm import common
 from tradewind.llm.common import discard, stage
 
 CAPACITY = 2048
-# Distinct chunks of text whose ids a task keeps at most; longer ones are not kept.
-KEPT_CHUNKS, KEPT_BYTES = 400_000, 64
+# Distinct chunks of text whose ids a Python worker keeps at most; longer ones are not kept.
+KEPT_CHUNKS, KEPT_BYTES = 1_500_000, 64
 # Text that is encoded in one call.
 JOINED_BYTES = 1 << 14
 # Pieces of one length that one part numbers by itself.
@@ -60,8 +60,10 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
+        # Chunks by rising hash, and the range of each in ``ids``, which only grows at its end.
         self.hashes = np.zeros(0, np.uint64)
-        self.at = np.zeros(1, np.int64)
+        self.begin = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def _separately(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,15 +99,13 @@ class Encoder:
         return pool[ranges(start, size)], np.concatenate([[0], np.cumsum(size)])
 
     def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
+        """Keep new chunks, whose hashes rise."""
         ids, at = self._encode(raw)
-        all_hashes = np.concatenate([self.hashes, hashes])
-        all_ids = np.concatenate([self.ids, ids])
-        starts = np.concatenate([self.at[:-1], at[:-1] + len(self.ids)])
-        sizes = np.concatenate([np.diff(self.at), np.diff(at)])
-        order = np.argsort(all_hashes)
-        self.hashes, sizes = all_hashes[order], sizes[order]
-        self.ids = all_ids[ranges(starts[order], sizes)]
-        self.at = np.concatenate([[0], np.cumsum(sizes)])
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.begin = np.insert(self.begin, place, at[:-1] + len(self.ids))
+        self.count = np.insert(self.count, place, np.diff(at))
+        self.ids = np.concatenate([self.ids, ids])
 
     def __call__(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in ``data`` and their ranges."""
@@ -139,8 +139,8 @@ class Encoder:
         place = np.searchsorted(self.hashes, distinct)
         known = place < len(self.hashes)
         known[known] = self.hashes[place[known]] == distinct[known]
-        begin[known] = self.at[place[known]]
-        size[known] = np.diff(self.at)[place[known]]
+        begin[known] = self.begin[place[known]]
+        size[known] = self.count[place[known]]
         rest = new[~short]
         begin[rest] = long_at[:-1] + len(self.ids)
         size[rest] = np.diff(long_at)
@@ -154,12 +154,22 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python process: Spark's workers go from task to task with what they know."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             for part in common.slices(batch, "text"):
                 ids, at = encoder(*common.text_bytes(part.column("text")))
