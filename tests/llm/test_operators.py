@@ -505,6 +505,85 @@ def test_seeds_of_many_holders_meet_the_first_one(spark, monkeypatch):
     assert sorted((r.doc_id, r.other_id) for r in found) == [(i, 0) for i in range(1, 6)]
 
 
+def _pair_of_texts(rng):
+    """Word hashes of two texts that share passages, some changed and shifted, and chains in their matches."""
+    x = rng.integers(0, 50, rng.integers(20, 900)).astype(np.uint64)
+    x = np.where(rng.random(len(x)) < 0.5, x, rng.integers(0, 1 << 40, len(x)).astype(np.uint64))
+    y = np.where(rng.random(len(x)) < rng.choice([0.0, 0.05, 0.2, 0.6]), x + np.uint64(1), x)
+    for _ in range(rng.integers(0, 3)):
+        at = int(rng.integers(0, len(y)))
+        y = np.concatenate([y[:at], rng.integers(0, 99, rng.integers(1, 40)).astype(np.uint64), y[at:]])
+    runs = {}
+    for j in range(len(y) - chaining.KMER + 1):
+        runs.setdefault(y[j : j + chaining.KMER].tobytes(), []).append(j)
+    found = [(i, j) for i in range(0, len(x) - chaining.KMER + 1, 3) for j in runs.get(x[i : i + chaining.KMER].tobytes(), [])]
+    a, b = np.array(found or [(0, 0)]).T
+    return x, y, [(a[c], b[c]) for c in chaining.chains(a, b)]
+
+
+def test_chains_drawn_out_together_give_the_passages_of_each():
+    rng = np.random.default_rng(11)
+    pairs = [_pair_of_texts(rng) for _ in range(150)]
+    x, y = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+    x_at, y_at = (np.concatenate([[0], np.cumsum([len(p[side]) for p in pairs])]) for side in (0, 1))
+    lists = [
+        pa.array([[len(a) for a, _ in p[2]] for p in pairs], pa.list_(pa.int32())),
+        *(pa.array([[int(v) for c in p[2] for v in c[side]] for p in pairs], pa.list_(pa.int32())) for side in (0, 1)),
+    ]
+    kept = lambda p, q, r, s, same: min(q - p, s - r) >= chaining.LEAST and same >= chaining.SAME * max(q - p, s - r)
+    wanted = sorted({(k, *f) for k, p in enumerate(pairs) for c in p[2] for f in chaining.passages(p[0], p[1], *c) if kept(*f)})
+    got = [tuple(f) for f in chaining._found(x, x_at, y, y_at, lists).T.tolist() if kept(*f[1:])]
+    assert got == wanted and len(got) > 100
+    assert any(q - p != s - r for _, p, q, r, s, _ in got) and any(q - p > chaining.STRETCH for _, p, q, *_ in got)
+
+
+def test_drawn_goes_on_as_word_by_word():
+    rng = np.random.default_rng(12)
+    for k in range(60):
+        n = int(rng.integers(1, 1500))
+        x = rng.integers(0, 1 << 40, n).astype(np.uint64)
+        y = np.where(rng.random(n) < rng.choice([0.0, 0.02, 0.3, 0.5, 0.9]), x + np.uint64(1), x)
+        at = int(rng.integers(0, n))
+        for step, words in ((1, x[at:] == y[at:]), (-1, (x[: at + 1] == y[: at + 1])[::-1])):
+            best, reach, score = 0.0, 0, 0.0
+            for s in range(0, len(words), chaining.STRETCH):
+                for i, agrees in enumerate(words[s : s + chaining.STRETCH].tolist(), s + 1):
+                    score += 1.0 if agrees else -chaining.MISMATCH
+                    if score > best:
+                        best, reach = score, i
+                if reach < s + chaining.STRETCH:
+                    break
+            here = np.array([at])
+            assert chaining.drawn(x, y, here, here, np.array([len(words)]), step).tolist() == [reach]
+
+
+def test_straight_chains_are_not_aligned_one_by_one(monkeypatch):
+    """Three hundred lone seeds of two texts, most of them chance, cost no call each."""
+    calls, align = [], chaining.align
+    monkeypatch.setattr(chaining, "align", lambda *a: calls.append(1) or align(*a))
+    words = [f"w{i}" for i in range(6060)]
+    other = [w if i >= 6000 or i < 5900 and i % 20 < 6 else f"x{i}" for i, w in enumerate(words)]
+    places = [*range(0, 5900, 20), *range(6000, 6054, 6)]
+    batch = pa.RecordBatch.from_pylist(
+        [{"doc_id": 2, "other_id": 1, "sizes": [1] * len(places), "a": places, "b": places, "text": " ".join(words), "other_text": " ".join(other)}],
+        pa.schema([
+            ("doc_id", pa.int64()), ("other_id", pa.int64()), *((c, pa.list_(pa.int32())) for c in ("sizes", "a", "b")),
+            ("text", pa.string()), ("other_text", pa.string()),
+        ]),
+    )
+    rows = [r for out in chaining._align(iter([batch])) for r in out.to_pylist()]
+    assert [(r["n_words"], r["identity"], r["end"] == len(" ".join(words))) for r in rows] == [(60, 1.0, True)]
+    assert not calls
+
+
+def test_matches_on_one_diagonal_are_linked_as_by_the_tree():
+    rng = np.random.default_rng(13)
+    for _ in range(200):
+        a = np.cumsum(rng.integers(1, rng.choice([3, 9, 60]), rng.integers(1, 60)))
+        b = a + int(rng.integers(0, 90))
+        assert chaining._linked_on_one_diagonal(a.tolist(), b.tolist()) == chaining._linked(a, b)
+
+
 def test_packing_encodes_a_chunk_once_in_all_tasks_of_a_worker(monkeypatch):
     """Three tasks one after another; the later ones bring old chunks and new ones."""
     sent, encode = [], packing.Encoder._encode
